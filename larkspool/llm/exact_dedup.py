@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import shared_dir
+from .scratch import shared_dir, written
 
 SPACES = " \t\n\x0b\x0c\r"
 #: The deciding order of equal texts: most code points first, then the smallest id.
@@ -57,12 +57,11 @@ class DigestIndex:
         seen = self.table()
         if seen is None:
             self._append(winners)
-            chosen = self.table()
+            # read as plain files: both sides of the join below are then shuffled, and adaptive execution splits hot digests
+            chosen = self.spark.read.schema(winners.schema).parquet(self.path)
         else:
             fresh = winners.join(seen.select("text_sha256").hint("merge"), "text_sha256", "left_anti")
             old = winners.select("text_sha256", "group_size").join(seen.select("text_sha256", "keep_id").hint("merge"), "text_sha256")
-            from .scratch import written
-
             chosen = written(fresh.select("text_sha256", "keep_id", "group_size").unionByName(old.select("text_sha256", "keep_id", "group_size")), "digest_winners")
             ids = written(fresh, "digest_fresh")
             self._append(ids)

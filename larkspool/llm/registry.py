@@ -2,11 +2,32 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
+from ..session import ship_package
 from .byte_bpe import op5_byte_bpe
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .jaccard_join import op10_ngram_jaccard
+from .substring_dedup import op7_substring_dedup
+
+
+
+def _shipped(query):
+    """The query, after the package has been sent to the executors' Python workers."""
+
+    @wraps(query)
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
 
-QUERIES = {
+_QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
+QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
 ORACLES = {"op4_exact_dedup": OP4_SQL}
