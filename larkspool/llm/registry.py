@@ -8,7 +8,9 @@ from ..session import ship_package
 from .byte_bpe import op5_byte_bpe
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .jaccard_join import op10_ngram_jaccard
+from .language_id import op9_language_id
 from .substring_dedup import op7_substring_dedup
+from .toxicity import op2_toxicity_crf
 
 
 
@@ -24,9 +26,11 @@ def _shipped(query):
 
 
 _QUERIES = {
+    "op2_toxicity_crf": op2_toxicity_crf,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_language_id": op9_language_id,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
