@@ -9,6 +9,8 @@ from .byte_bpe import op5_byte_bpe
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .jaccard_join import op10_ngram_jaccard
 from .language_id import op9_language_id
+from .license_scan import op8_license_scan
+from .quality import op6_quality_classifier
 from .substring_dedup import op7_substring_dedup
 from .toxicity import op2_toxicity_crf
 
@@ -29,7 +31,9 @@ _QUERIES = {
     "op2_toxicity_crf": op2_toxicity_crf,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_license_scan": op8_license_scan,
     "op9_language_id": op9_language_id,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
