@@ -7,6 +7,7 @@ from functools import wraps
 from ..session import ship_package
 from .byte_bpe import op5_byte_bpe
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .html_text import op1_html_extraction
 from .jaccard_join import op10_ngram_jaccard
 from .language_id import op9_language_id
 from .license_scan import op8_license_scan
@@ -28,6 +29,7 @@ def _shipped(query):
 
 
 _QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_toxicity_crf": op2_toxicity_crf,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
