@@ -1,8 +1,77 @@
-"""Corpus cleaning as five stages over ``documents``: each is written as Parquet and read again by the next."""
+"""Corpus cleaning as five stages over ``documents``; each stage's rows are written as Parquet and read by the next.
 
-STAGES: list = []
+toxicity: documents that the conditional random field rejects go.  exact dedup: of equal texts one stays.  n-gram Jaccard
+join: of each group of near copies (five-word shingles, similarity 0.8 or more) the smallest doc_id stays.  benchmark
+decontamination: documents with a passage of ``benchmark`` go.  byte-level BPE: what is left is encoded and decoded.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from larkspool.llm.byte_bpe import encode_table
+from larkspool.llm.decontaminate import contaminated
+from larkspool.llm.exact_dedup import exact_dedup
+from larkspool.llm.jaccard_join import Jaccard, jaccard_groups
+from larkspool.llm.scratch import written
+from larkspool.llm.toxicity import fit_field, without_toxic
+from larkspool.session import ship_package
+
+#: A list of ids up to this many (8 bytes each) is broadcast; a longer one is joined by shuffling.
+BROADCAST_IDS = 2_000_000
+
+
+def _matched(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows not predicted toxic by a field that is fitted on the labelled rows of ``docs``."""
+    ship_package(spark)
+    return without_toxic(docs, fit_field(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts; rows that repeat with their doc_id are merged too."""
+    ship_package(spark)
+    verdicts = written(exact_dedup(docs).select("doc_id", "keep_id"), "dedup_verdicts")
+    gone = written(verdicts.where("doc_id <> keep_id").select("doc_id").distinct(), "dedup_gone")
+    left = _matched(docs, gone, "left_anti")
+    twice = written(verdicts.groupBy("doc_id").count().where("count > 1").select("doc_id"), "dedup_twice")
+    if twice.isEmpty():
+        return left
+    return _matched(left, twice, "left_anti").unionByName(_matched(left, twice, "left_semi").dropDuplicates(["doc_id"]))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of each group of near copies."""
+    ship_package(spark)
+    groups = jaccard_groups(docs, Jaccard(size=5, percent=80))
+    return _matched(docs, written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near_gone"), "left_anti")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a passage of the benchmark."""
+    ship_package(spark)
+    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _matched(docs, written(found.select("doc_id"), "leaks_gone"), "left_anti")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of every text: their number, and digests of the ids and of the decoded bytes."""
+    ship_package(spark)
+    return encode_table(docs, keep_ids=False)
+
+
+STAGES = [("toxicity", toxicity), ("exact_dedup", dedup), ("ngram_jaccard", near_dedup), ("decontamination", decontamination), ("byte_bpe", tokens)]
+#: The conditional random field and the tokenizer are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,6 +6,7 @@ from functools import wraps
 
 from ..session import ship_package
 from .byte_bpe import op5_byte_bpe
+from .decontaminate import op3_benchmark_decontamination
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .html_text import op1_html_extraction
 from .jaccard_join import op10_ngram_jaccard
@@ -31,6 +32,7 @@ def _shipped(query):
 _QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity_crf": op2_toxicity_crf,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_classifier": op6_quality_classifier,
