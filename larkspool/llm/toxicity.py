@@ -116,11 +116,11 @@ class Field:
         alpha = alpha.reshape(-1, 2)[:n]
         return alpha[:, 1] / alpha.sum(axis=1)
 
-    def tag(self, w: K.Words) -> np.ndarray:
-        begins = np.zeros(len(w.start), dtype=bool)
+    def tag(self, w: K.Words, feature: np.ndarray | None = None) -> np.ndarray:
+        begins = np.zeros(len(w.doc), dtype=bool)
         begins[w.first[:-1][w.counts() > 0]] = True
-        emission = np.zeros(len(w.start))
-        for column in features(w).T:
+        emission = np.zeros(len(w.doc))
+        for column in (features(w) if feature is None else feature).T:
             emission += self.weights[column]
         return self.marginals(emission, begins)
 
@@ -183,13 +183,18 @@ def token_labels(feature: np.ndarray, doc: np.ndarray, label: np.ndarray) -> np.
 
 def fit(texts: list[str], label: np.ndarray, weight: np.ndarray) -> Field:
     """Field and score from labelled texts; ``weight`` undoes the sampling of the classes."""
-    _, one = np.unique(np.array(texts, dtype=object).astype(str), return_index=True) if len(texts) else (None, np.zeros(0, dtype=int))
+    one = np.array(sorted({t: i for i, t in reversed(list(enumerate(texts)))}.values()), dtype=int)
     texts, label, weight = [texts[i] for i in one], label[one], weight[one]  # copies are no further evidence
-    column = pa.array(texts, pa.large_string())
-    data, offsets = K.buffers(column)
-    w = K.words(lowered(data), offsets, IN_WORD)
-    feature = features(w)
-    y = token_labels(feature, w.doc, label)
+    # slice by slice: the arrays behind the features take some fifty bytes for each byte of text
+    rows = pa.record_batch([pa.array(texts, pa.string())], ["text"])
+    parts = []
+    for part in K.slices(rows, "text"):
+        data, offsets = K.buffers(part.column(0))
+        w = K.words(lowered(data), offsets, IN_WORD)
+        parts.append((features(w), w.counts()))
+    counts = np.concatenate([c for _, c in parts]) if parts else np.zeros(0, dtype=np.int64)
+    feature = np.concatenate([f for f, _ in parts]) if parts else np.zeros((0, 1), dtype=np.int32)
+    y = token_labels(feature, np.repeat(np.arange(len(counts)), counts), label) if len(feature) else np.zeros(0, dtype=bool)
     # sequences of a fixed length: all with toxic words first, then others evenly; padded positions repeat a neutral word
     at = np.arange(0, len(y), SEQUENCE)
     hot = np.add.reduceat(y, at) > 0 if len(y) else np.zeros(0, dtype=bool)
@@ -201,13 +206,13 @@ def fit(texts: list[str], label: np.ndarray, weight: np.ndarray) -> Field:
     if len(chosen) and y.any():
         where = chosen[:, None] + np.arange(SEQUENCE)
         f, t = feature[where], y[where].astype(np.int64)
-        used, f = np.unique(f, return_inverse=True)
-        f = f.reshape(*where.shape, -1)
+        used = np.unique(f)
+        f = np.searchsorted(used, f).astype(np.int32)
         count = f.size / f.shape[-1]
 
         def gradient(x):
             u, start, move = x[:-4], x[-4], np.array([[0.0, x[-3]], [x[-2], x[-1]]])
-            e = u[f].sum(axis=2)
+            e = sum(u[f[:, :, k]] for k in range(f.shape[2]))
             step = np.exp(move)
             alpha = np.empty((len(f), SEQUENCE, 2))
             alpha[:, 0] = np.stack([np.ones(len(f)), np.exp(np.clip(start + e[:, 0], -30, 30))], axis=1)
@@ -228,7 +233,7 @@ def fit(texts: list[str], label: np.ndarray, weight: np.ndarray) -> Field:
             p = p[:, :, 1] / p.sum(axis=2)
             off = p - t
             g = np.empty_like(x)
-            g[:-4] = np.bincount(f.ravel(), weights=np.repeat(off.ravel(), f.shape[2]), minlength=len(used))
+            g[:-4] = sum(np.bincount(f[:, :, k].ravel(), weights=off.ravel(), minlength=len(used)) for k in range(f.shape[2]))
             g[-4] = off[:, 0].sum()
             for k, (i, j) in enumerate(((0, 1), (1, 0), (1, 1))):
                 g[-3 + k] = pairs[i, j] - ((t[:, :-1] == i) & (t[:, 1:] == j)).sum()
@@ -238,7 +243,12 @@ def fit(texts: list[str], label: np.ndarray, weight: np.ndarray) -> Field:
         weights[used], moves = x[:-4], x[-4:]
     field = Field(weights, float(moves[0]), np.array([[0.0, moves[1]], [moves[2], moves[3]]]), np.zeros(6))
     if len(label):
-        field.score = fit_score(field.evidence(w, field.tag(w)), label.astype(float), weight)
+        evidence = []
+        for f, n in parts:
+            first = np.concatenate([[0], np.cumsum(n)])
+            w = K.Words(None, None, None, np.repeat(np.arange(len(n)), n), first)
+            evidence.append(field.evidence(w, field.tag(w, f)))
+        field.score = fit_score(np.concatenate(evidence), label.astype(float), weight)
     else:
         field.score[0] = -3.0
     return field
