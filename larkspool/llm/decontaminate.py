@@ -63,7 +63,9 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[K.Words, np.ndarra
         lead = low[w.start] != data[w.start]
         second = np.minimum(w.start + 1, len(data) - 1)
         lead |= (data[w.start] == 0xC3) & (low[second] != data[second])
-        kind[(kind == 0) & inside & lead] = NAME
+        capitals = np.concatenate([[0], np.cumsum(low != data)])  # words in capitals throughout are shouted, not names
+        single = (capitals[w.end] - capitals[w.start] == 1) & (w.end - w.start > 1)
+        kind[(kind == 0) & inside & lead & single] = NAME
     return w, own, np.where(kind == 0, own, K.mix(kind ^ U64(0x6C62272E07BB0142))), kind
 
 

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import shared_dir, written
 
 SPACES = " \t\n\x0b\x0c\r"
-#: The deciding order of equal texts: most code points first, then the smallest id.
-_BEST = F.min(F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").alias("doc_id")))
+
+
+def _best() -> Column:
+    """The deciding order of equal texts: most code points first, then the smallest id."""
+    return F.min(F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").alias("doc_id")))
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -52,7 +55,7 @@ class DigestIndex:
         Repeated rows with one doc_id count as that many rows; the first in order stays, and all of them share ``kept``.
         """
         rows = digests(docs)
-        winners = rows.groupBy("text_sha256").agg(_BEST.alias("best"), F.count("*").alias("group_size"))
+        winners = rows.groupBy("text_sha256").agg(_best().alias("best"), F.count("*").alias("group_size"))
         winners = winners.select("text_sha256", F.col("best.doc_id").alias("keep_id"), "group_size")
         seen = self.table()
         if seen is None:

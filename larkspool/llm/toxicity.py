@@ -86,6 +86,7 @@ class Field:
         step = np.empty((blocks * BLOCK, 2, 2))
         step[:] = np.exp(self.moves)
         step[:n][begins] = np.exp([[0.0, self.start], [0.0, self.start]])
+        step[n:] = 1.0  # what fills the last block says nothing about the words before it
         e = np.exp(np.clip(emission, -30, 30))
         step[:n, :, 1] *= e[:, None]
         step = step.reshape(blocks, BLOCK, 2, 2)
