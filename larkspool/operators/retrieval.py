@@ -72,16 +72,17 @@ def dense_search(vectors: DataFrame, queries: DataFrame, k: int = 5, where: Colu
     """The ``k`` vectors most like each query by cosine: query_id, rank, vec_id and score (rounded first).
 
     ``vectors(vec_id, embedding)`` pass the filter first; ``queries(query_id, embedding)`` are few and sent to every task,
-    which compares them with its vectors block by block and keeps ``k`` for each query.  Vectors without length, null ones
-    and those of another length than the queries are not found.
+    which compares them with its vectors block by block and keeps ``k`` for each query.  Vectors (and queries) of zeros, null
+    ones and those of another length than the first query are not found.
     """
     ship_package(vectors.sparkSession)
     asked = queries.where("embedding is not null").select("query_id", F.col("embedding").cast("array<double>").alias("embedding")).limit(MOST_QUERIES + 1).collect()
     if len(asked) > MOST_QUERIES:
         raise ValueError("too many queries to be sent to every task")
     width = len(asked[0]["embedding"]) if asked else 0
-    matrix = np.array([r["embedding"] for r in asked if len(r["embedding"]) == width], dtype=float).reshape(-1, width)
-    ids = np.array([r["query_id"] for r in asked if len(r["embedding"]) == width], dtype=np.int64)
+    asked = [r for r in asked if len(r["embedding"]) == width and any(r["embedding"])]
+    matrix = np.array([r["embedding"] for r in asked], dtype=float).reshape(len(asked), width)
+    ids = np.array([r["query_id"] for r in asked], dtype=np.int64)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     matrix = matrix / np.where(norms > 0, norms, 1)
     rows = (vectors if where is None else vectors.where(where)).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
