@@ -14,9 +14,8 @@ from larkspool.llm.byte_bpe import encode_table
 from larkspool.llm.decontaminate import contaminated
 from larkspool.llm.exact_dedup import exact_dedup
 from larkspool.llm.jaccard_join import Jaccard, jaccard_groups
-from larkspool.llm.scratch import written
+from larkspool.llm.scratch import prepare, written
 from larkspool.llm.toxicity import fit_field, without_toxic
-from larkspool.session import ship_package
 
 #: A list of ids up to this many (8 bytes each) is broadcast; a longer one is joined by shuffling.
 BROADCAST_IDS = 2_000_000
@@ -28,13 +27,13 @@ def _matched(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows not predicted toxic by a field that is fitted on the labelled rows of ``docs``."""
-    ship_package(spark)
+    prepare(spark)
     return without_toxic(docs, fit_field(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts; rows that repeat with their doc_id are merged too."""
-    ship_package(spark)
+    prepare(spark)
     verdicts = written(exact_dedup(docs).select("doc_id", "keep_id"), "dedup_verdicts")
     gone = written(verdicts.where("doc_id <> keep_id").select("doc_id").distinct(), "dedup_gone")
     left = _matched(docs, gone, "left_anti")
@@ -46,21 +45,21 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each group of near copies."""
-    ship_package(spark)
+    prepare(spark)
     groups = jaccard_groups(docs, Jaccard(size=5, percent=80))
     return _matched(docs, written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near_gone"), "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a passage of the benchmark."""
-    ship_package(spark)
+    prepare(spark)
     found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return _matched(docs, written(found.select("doc_id"), "leaks_gone"), "left_anti")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every text: their number, and digests of the ids and of the decoded bytes."""
-    ship_package(spark)
+    prepare(spark)
     return encode_table(docs, keep_ids=False)
 
 

@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .scratch import table
 
 #: White space by Unicode, written out: the engines' \s differ in the ASCII separators.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Encoded pieces remembered by a worker; the memory is emptied when it is full.
-PIECES_KEPT = 300_000
+PIECES_KEPT = 250_000
 #: Pieces longer than this are not remembered.
 LONGEST_KEPT = 40
 
@@ -119,7 +120,7 @@ class ByteBPE:
             if len(piece) <= LONGEST_KEPT:
                 if len(self.pieces) >= PIECES_KEPT:
                     self.pieces.clear()
-                if len(self.pairs) >= 4 * PIECES_KEPT:
+                if len(self.pairs) >= PIECES_KEPT:
                     self.pairs.clear()
                 self.pieces[piece] = got
         return got
@@ -199,4 +200,4 @@ def decode_table(encoded: DataFrame, rank_file: str | None = None, pattern: str
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_table(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep_ids=False)
+    return encode_table(table(spark, sf_dir, "documents"), keep_ids=False)

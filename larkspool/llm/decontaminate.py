@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .scratch import written
+from .scratch import table, written
 from .toxicity import IN_WORD, lowered
 
 U64 = np.uint64
@@ -77,12 +77,12 @@ def template_windows(w: K.Words, form: np.ndarray, kind: np.ndarray, size: int)
     return h[keep], at[keep]
 
 
-def window_rows(table: DataFrame, key: str, sizes: tuple[int, ...], whole: bool, known: np.ndarray | None) -> DataFrame:
+def window_rows(texts: DataFrame, key: str, sizes: tuple[int, ...], whole: bool, known: np.ndarray | None) -> DataFrame:
     """(hash, key, place, slots) of the windows; ``whole``: only texts of fewer words than the longest window, as one.
 
     slots are the hashes of the values behind the placeholders, in order.  ``known`` (sorted) keeps other hashes out.
     """
-    sent = table.sparkSession.sparkContext.broadcast(known)
+    sent = texts.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,7 +108,7 @@ def window_rows(table: DataFrame, key: str, sizes: tuple[int, ...], whole: bool,
                     where = pa.array((at - w.first[w.doc[at]]).astype(np.int64))
                     yield pa.RecordBatch.from_arrays([K.signed(h), part.column(0).take(pa.array(w.doc[at])), where, pa.array(np.full(len(at), size, dtype=np.int32)), values], ["hash", key, "place", "size", "slots"])
 
-    rows = table.select(F.col(key).cast("long").alias(key), F.col("text").cast("string").alias("text"))
+    rows = texts.select(F.col(key).cast("long").alias(key), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, f"hash long, {key} long, place long, size int, slots array<long>")
 
 
@@ -143,4 +143,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(*(spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark")))
+    return contaminated(*(table(spark, sf_dir, t) for t in ("documents", "benchmark")))

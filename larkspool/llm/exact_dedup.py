@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import shared_dir, written
+from .scratch import shared_dir, table, written
 
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -83,7 +83,7 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 OP4_SQL = r"""

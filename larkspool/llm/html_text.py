@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .scratch import written
+from .scratch import table, written
 
 #: Winning paths (one for each host) up to this many are broadcast, a hundred bytes each; more are joined by shuffling.
 BROADCAST_HOSTS = 100_000
@@ -241,4 +241,4 @@ def extract(pages: DataFrame) -> DataFrame:
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return extract(table(spark, sf_dir, "pages"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from . import partition_index as X
 from .components import components
-from .scratch import written
+from .scratch import table, written
 
 U64 = np.uint64
 #: Longs of parity cells for each set.
@@ -168,4 +168,4 @@ def jaccard_groups(docs: DataFrame, how: Jaccard = Jaccard()) -> DataFrame:
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"), Jaccard(size=3, percent=90))
+    return jaccard_groups(table(spark, sf_dir, "documents"), Jaccard(size=3, percent=90))

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: Odd multipliers of the polynomial hashes modulo 2**64; the first two are for bytes, the last two for words.
 BYTE_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 WORD_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)

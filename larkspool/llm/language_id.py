@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .labelled import bounded, fold
 from .toxicity import lowered
+from .scratch import table
 
 U64 = np.uint64
 NGRAM = 4
@@ -147,5 +148,5 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     return identify(docs, fit_filters(docs)).select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")

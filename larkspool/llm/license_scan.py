@@ -14,6 +14,8 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import table
+
 #: Words: bytes and characters outside the ASCII punctuation, white space and (already lowered) capitals.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases that name a licence, and their labels; each ends in "license".
@@ -121,4 +123,4 @@ def scan(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scan(table(spark, sf_dir, "documents"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .labelled import bounded, fold, labels_of
+from .scratch import table
 
 U64 = np.uint64
 #: Rows for words and for shapes, dimensions, and nonzero entries of an index vector.
@@ -210,6 +211,6 @@ def score_documents(docs: DataFrame, vectors: np.ndarray, network: Network) -> D
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     vectors = word_vectors(docs)
     return score_documents(docs, vectors, fit_quality(docs, labels, vectors)).select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import wraps
 
-from ..session import ship_package
 from .byte_bpe import op5_byte_bpe
 from .decontaminate import op3_benchmark_decontamination
 from .exact_dedup import OP4_SQL, op4_exact_dedup
@@ -13,17 +12,17 @@ from .jaccard_join import op10_ngram_jaccard
 from .language_id import op9_language_id
 from .license_scan import op8_license_scan
 from .quality import op6_quality_classifier
+from .scratch import prepare
 from .substring_dedup import op7_substring_dedup
 from .toxicity import op2_toxicity_crf
 
 
-
 def _shipped(query):
-    """The query, after the package has been sent to the executors' Python workers."""
+    """The query, after its session has been prepared."""
 
     @wraps(query)
     def run(spark, sf_dir):
-        ship_package(spark)
+        prepare(spark)
         return query(spark, sf_dir)
 
     return run

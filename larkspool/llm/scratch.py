@@ -1,34 +1,23 @@
-"""Shared scratch folder: lineage is cut by tables written where every executor can read them."""
+"""What every operator here needs of its session: the shared scratch folder, the package on the executors, small batches."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..scratch import shared_dir, table_path, written
+from ..session import ship_package
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, ``spark.checkpoint.dir``; one of our own only where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = jvm_dir.get() if jvm_dir.isDefined() else None
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="larkspool-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/larkspool/{name}-{uuid.uuid4().hex}"
+__all__ = ["prepare", "shared_dir", "table", "table_path", "written"]
+#: Rows of an Arrow batch unless the session says otherwise: whole texts are long rows, and a batch is held on both sides.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it again: later stages start from the files."""
-    path = table_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def prepare(spark: SparkSession) -> None:
+    """Send the package to the executors, and keep Arrow batches small where the session has no setting of its own."""
+    ship_package(spark)
+    if _BATCH not in spark.conf.getAll:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

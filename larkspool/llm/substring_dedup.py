@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .scratch import written
+from .scratch import table, written
 
 U64 = np.uint64
 WINDOW, GRAM = 50, 8
@@ -172,5 +172,5 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = repeated_windows(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    out = repeated_windows(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")

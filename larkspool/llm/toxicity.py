@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .labelled import bounded, fold, labels_of
+from .scratch import table
 
 U64 = np.uint64
 IN_WORD = np.zeros(256, dtype=bool)
@@ -26,7 +27,7 @@ PREFIXES, SUFFIXES = (3, 4, 5, 6, 7, 8), (4, 6)
 #: Hashed features; the last one is the bias.
 FEATURES = 1 << 18
 #: Labelled documents that the field and the document score are fitted on, at most, for each label.
-FIT_TOXIC, FIT_CLEAN = 2000, 3000
+FIT_TOXIC, FIT_CLEAN = 1500, 2500
 #: Words of a training sequence, and sequences at most.
 SEQUENCE, SEQUENCES = 24, 24_000
 #: A word of a toxic document counts if its sign is this part of the document's surest one at least.
@@ -195,6 +196,8 @@ def fit(texts: list[str], label: np.ndarray, weight: np.ndarray) -> Field:
         parts.append((features(w), w.counts()))
     counts = np.concatenate([c for _, c in parts]) if parts else np.zeros(0, dtype=np.int64)
     feature = np.concatenate([f for f, _ in parts]) if parts else np.zeros((0, 1), dtype=np.int32)
+    at_part = np.cumsum([0, *(len(f) for f, _ in parts)])
+    parts = [n for _, n in parts]
     y = token_labels(feature, np.repeat(np.arange(len(counts)), counts), label) if len(feature) else np.zeros(0, dtype=bool)
     # sequences of a fixed length: all with toxic words first, then others evenly; padded positions repeat a neutral word
     at = np.arange(0, len(y), SEQUENCE)
@@ -245,10 +248,10 @@ def fit(texts: list[str], label: np.ndarray, weight: np.ndarray) -> Field:
     field = Field(weights, float(moves[0]), np.array([[0.0, moves[1]], [moves[2], moves[3]]]), np.zeros(6))
     if len(label):
         evidence = []
-        for f, n in parts:
+        for n, low, high in zip(parts, at_part[:-1], at_part[1:], strict=True):
             first = np.concatenate([[0], np.cumsum(n)])
             w = K.Words(None, None, None, np.repeat(np.arange(len(n)), n), first)
-            evidence.append(field.evidence(w, field.tag(w, f)))
+            evidence.append(field.evidence(w, field.tag(w, feature[low:high])))
         field.score = fit_score(np.concatenate(evidence), label.astype(float), weight)
     else:
         field.score[0] = -3.0
@@ -317,5 +320,5 @@ def without_toxic(docs: DataFrame, field: Field) -> DataFrame:
 
 
 def op2_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     return score_documents(docs, fit_field(docs, labels)).select("doc_id", (fold(4) == 2).alias("held_out"), "score", "predicted", "spans")

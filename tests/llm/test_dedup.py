@@ -13,14 +13,14 @@ from larkspool.llm.components import components
 from larkspool.llm.exact_dedup import DigestIndex, exact_dedup
 from larkspool.llm.jaccard_join import Jaccard, jaccard_groups
 from larkspool.llm.substring_dedup import repeated_windows
-from larkspool.session import ship_package
+from larkspool.llm.scratch import prepare
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, sig long, key string, h1 string"
 
 
 def table(spark, rows):
     """Rows (doc_id, text) with more columns, some of whose names the operators use inside."""
-    ship_package(spark)
+    prepare(spark)
     return spark.createDataFrame([(d, t, None, "s", None, 1, "k", "h") for d, t in rows], DOCS).repartition(3)
 
 

@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from larkspool.llm import byte_bpe, decontaminate, html_text, language_id, license_scan, quality, registry, toxicity
-from larkspool.session import ship_package
+from larkspool.llm.scratch import prepare
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, label int, hash long, w string"
@@ -18,7 +18,7 @@ ODD = [(1, None), (2, ""), (3, " \n\t"), (4, "123 ..."), (5, "x" * 5000), (6, "
 
 
 def table(spark, rows):
-    ship_package(spark)
+    prepare(spark)
     return spark.createDataFrame([(d, t, None, None, None, 1, 1, "w") for d, t in rows], DOCS)
 
 
@@ -154,7 +154,7 @@ def test_pages(spark):
     )
     bare = "<div class='content-12'><p>Only &lt;text&gt;</p></div><div class='sidebar'>x</div>"
     rows = [(i, f"http://a.example/{i}", page) for i in range(3)] + [(5, "https://b.example:80/x", bare), (6, None, "plain text"), (7, "http://a.example/", None), (8, "x", ""), (9, "http://a.example/9", "<p>no container"), (10, "http://c", "<div><p>unclosed &amp <b")]
-    ship_package(spark)
+    prepare(spark)
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r for r in html_text.extract(pages).collect()}
     want = "Head & more\nOne bold text on\nTwo é\na\nb"
