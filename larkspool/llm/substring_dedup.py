@@ -156,6 +156,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     marks = written(anchor.join(several, "anchor").groupBy("doc_id", "d1").agg(F.collect_set("anchor").alias("anchors")), "windows_marks")
     rows = window_rows(_picked(texts, marks), window, gram)
     known = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1", "h2", "least")
+    known = written(known, "windows_known")  # so that both sides of the join are plain exchanges, whose hot keys can be split
     starts = rows.join(known, ["h1", "h2"]).where("doc_id > least")
     starts = starts.groupBy("doc_id", F.shiftright("place", 32).alias("tag")).agg(F.collect_set(F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))).alias("starts"))
     starts = written(starts, "windows_starts")
@@ -174,3 +175,15 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeated_windows(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP7_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+tok AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], chr(0))) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+hit AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) < doc_id AS gone FROM win),
+cov AS (SELECT t.doc_id, t.i, t.word, coalesce(bool_or(coalesce(hit.gone, false)) OVER (PARTITION BY t.doc_id ORDER BY t.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM tok t LEFT JOIN hit ON hit.doc_id = t.doc_id AND hit.i = t.i),
+agg AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM cov GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256 FROM w LEFT JOIN agg ON w.doc_id = agg.doc_id
+"""
