@@ -3,8 +3,9 @@
 Sets of word shingles are indexed as ``partition_index`` describes; texts that meet under a key are candidates.  Texts
 with equal sets are one node from the start.  Groups of near copies would give pairs with the square of their size, so
 links are found in two steps: first every node of a key is compared with the key's most central node only, then the
-nodes that are still in different components.  Both joins test a lower bound of the sets' difference inside the join
-(parities of the elements in fixed cells), so the rows they give are few; every row is then verified on the whole texts.
+nodes that are still in different components.  A lower bound of the sets' difference (parities of the elements in fixed
+cells) is tested inside that join, so the rows it gives are few; a finer one is tested on the pairs, and what is left is
+verified on the whole texts.
 """
 
 from __future__ import annotations
@@ -23,10 +24,12 @@ from .components import components
 from .scratch import table, written
 
 U64 = np.uint64
-#: Longs of parity cells for each set.
-PARITIES = 4
+#: Longs of parity cells for each set: those that joins carry, and those that pairs are tested by before their texts.
+PARITIES, FINE = 4, 32
 #: A list of node ids up to this many (8 bytes each) is broadcast to pick texts; a longer one is joined by shuffling.
 BROADCAST_IDS = 2_000_000
+#: A table of nodes with their sizes and parities up to this many (60 bytes each) is broadcast; a longer one is shuffled.
+BROADCAST_NODES = 500_000
 
 
 @dataclass(frozen=True)
@@ -47,21 +50,27 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _parities(doc: np.ndarray, shingle: np.ndarray, docs: int, longs: int) -> np.ndarray:
+    """Bits that say in which of 64 * longs cells a set has an odd number of elements."""
+    cell = (K.mix(shingle ^ U64(0x2545F4914F6CDD1D)) % U64(64 * longs)).astype(np.int64)
+    odd = np.bincount(doc * (64 * longs) + cell, minlength=docs * 64 * longs) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(docs, longs, 64), axis=2).view(np.int64).reshape(docs, longs)
+
+
 def node_rows(docs: DataFrame, how: Jaccard) -> DataFrame:
-    """doc_id, size of the set, its digest and its parities."""
-    names = ["doc_id", "n_shingles", "sig", *(f"p{i}" for i in range(PARITIES))]
+    """doc_id, size of the set, its digest and its parities (p0.. to be carried by joins, and the finer ones)."""
+    names = ["doc_id", "n_shingles", "sig", *(f"p{i}" for i in range(PARITIES)), "fine"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.slices(batch, "text"):
                 doc, shingle = _sets(part, how.size)
                 n, sig = X.signatures(doc, shingle, part.num_rows)
-                cell = (K.mix(shingle ^ U64(0x2545F4914F6CDD1D)) % U64(64 * PARITIES)).astype(np.int64)
-                odd = np.bincount(doc * (64 * PARITIES) + cell, minlength=part.num_rows * 64 * PARITIES) & 1
-                bits = np.packbits(odd.astype(np.uint8).reshape(part.num_rows, PARITIES, 64), axis=2).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n.astype(np.int64)), K.signed(sig), *(pa.array(bits[:, i, 0].copy()) for i in range(PARITIES))], names)
+                bits = _parities(doc, shingle, part.num_rows, PARITIES)
+                fine = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * FINE), pa.array(_parities(doc, shingle, part.num_rows, FINE).ravel()))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n.astype(np.int64)), K.signed(sig), *(pa.array(bits[:, i].copy()) for i in range(PARITIES)), fine], names)
 
-    return _texts(docs).mapInArrow(run, ", ".join(f"{x} long" for x in names))
+    return _texts(docs).mapInArrow(run, ", ".join(f"{x} long" for x in names[:-1]) + ", fine array<long>")
 
 
 def key_rows(docs: DataFrame, how: Jaccard) -> DataFrame:
@@ -78,15 +87,30 @@ def key_rows(docs: DataFrame, how: Jaccard) -> DataFrame:
     return _texts(docs).mapInArrow(run, "key long, sig long")
 
 
-def _may_link(how: Jaccard, a: str, b: str) -> Column:
-    """Sizes and parities allow the similarity; never false for a true link."""
+def _may_link(how: Jaccard, a: str, b: str, differ: Column) -> Column:
+    """Sizes and a lower bound of the difference allow the similarity; never false for a true link."""
     p = how.percent
     x, y = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-    differ = sum((F.bit_count(F.col(f"{a}.p{i}").bitwiseXOR(F.col(f"{b}.p{i}"))) for i in range(PARITIES)), F.lit(0))
     # 100 i >= p (x + y - i) and the difference is x + y - 2 i
     return (100 * F.least(x, y) >= p * F.greatest(x, y)) & ((100 + p) * differ <= (100 - p) * (x + y))
 
 
+def _coarse(a: str, b: str) -> Column:
+    return sum((F.bit_count(F.col(f"{a}.p{i}").bitwiseXOR(F.col(f"{b}.p{i}"))) for i in range(PARITIES)), F.lit(0))
+
+
+def _fine(a: str, b: str) -> Column:
+    bits = F.zip_with(F.col(f"{a}.fine"), F.col(f"{b}.fine"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda s, x: s + x)
+
+
+def _likely(pairs: DataFrame, of: DataFrame, how: Jaccard) -> DataFrame:
+    """The pairs(u, v) that the finer parities allow."""
+    fine = of.select("sig", "n_shingles", "fine")
+    a, b = fine.select(F.col("sig").alias("u"), F.struct("n_shingles", "fine").alias("a")), fine.select(F.col("sig").alias("v"), F.struct("n_shingles", "fine").alias("b"))
+    return pairs.join(a, "u").join(b, "v").where(_may_link(how, "a", "b", _fine("a", "b"))).select("u", "v")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, how: Jaccard) -> DataFrame:
     """The pairs(u, v) of nodes whose texts have the similarity."""
     left, right = texts.select(F.col("sig").alias("u"), F.col("text").alias("a")), texts.select(F.col("sig").alias("v"), F.col("text").alias("b"))
@@ -118,34 +142,41 @@ def _picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, nodes: DataFrame, how: Jaccard) -> tuple[DataFrame, DataFrame]:
-    """Links between nodes that connect whatever is linked, as (u, v); and (sig, component) of the nodes that have any."""
+    """Links between nodes that connect whatever is linked, as (u, v); and (node, component) of the nodes that have any."""
     keys = key_rows(docs, how)
     shared = keys.groupBy("key").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("key")
     shared = written(shared, "jaccard_keys")
     few = shared.count() <= BROADCAST_IDS
     members = key_rows(docs, how).join(F.broadcast(shared) if few else shared, "key", "left_semi").distinct()
     members = written(members, "jaccard_members")
-    distinct_nodes = nodes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n_shingles", *(f"p{i}" for i in range(PARITIES)))))
     # the more and the larger the keys of a node, the more of its group it can stand for
-    sizes = members.groupBy("key").agg(F.count("*").alias("c"))
-    central = members.join(sizes, "key").groupBy("sig").agg(F.sum("c").alias("central"))
-    of = written(distinct_nodes.join(central, "sig"), "jaccard_nodes")
-    members = written(members.join(of.drop("doc_id"), "sig"), "jaccard_members")
+    sizes = written(members.groupBy("key").agg(F.count("*").alias("c")), "jaccard_sizes")
+    central = written(members.join(sizes, "key").groupBy("sig").agg(F.sum("c").alias("central")), "jaccard_central")
+    carried = ["n_shingles", *(f"p{i}" for i in range(PARITIES))]
+    first = nodes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in (*carried, "fine")))
+    of = written(first.join(central, "sig"), "jaccard_nodes")
+    small = of.count() <= BROADCAST_NODES
     texts = written(_picked(docs, of.select("doc_id", "sig")), "jaccard_texts")
 
-    own = [c for c in members.columns if c != "key"]
-    pivot = members.groupBy("key").agg(F.max(F.struct("central", *(c for c in own if c != "central"))).alias("b"))
-    star = members.alias("a").join(pivot.select("key", "b.*").alias("b"), "key").where((F.col("a.sig") != F.col("b.sig")) & _may_link(how, "a", "b"))
-    star = star.select(F.col("a.sig").alias("u"), F.col("b.sig").alias("v")).distinct()
+    def with_nodes(rows: DataFrame, *columns: str) -> DataFrame:
+        table = of.select("sig", *columns)
+        return rows.join(F.broadcast(table) if small else table, "sig")
+
+    # written, so that both sides of the next join are plain exchanges and hot keys can be split
+    pivots = written(with_nodes(members, "central").groupBy("key").agg(F.max(F.struct("central", "sig")).alias("b")).select("key", F.col("b.sig").alias("v")), "jaccard_pivots")
+    star = members.join(pivots, "key").where("sig <> v").select(F.col("sig").alias("u"), "v").distinct()
+    star = written(_likely(star, of, how), "jaccard_star")
     found = written(_verified(star, texts, how), "jaccard_links")
-    parts = components(found)
+    parts = written(components(found).withColumnRenamed("node", "sig"), "jaccard_parts")
 
-    rest = members.join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    small_parts = parts.count() <= BROADCAST_NODES
+    rest = members.join(F.broadcast(parts) if small_parts else parts, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     open_keys = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    rest = written(rest.join(open_keys, "key"), "jaccard_rest")
-    more = rest.alias("a").join(rest.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.sig") < F.col("b.sig")) & (F.col("a.component") != F.col("b.component")) & _may_link(how, "a", "b"))
-    more = more.select(F.col("a.sig").alias("u"), F.col("b.sig").alias("v")).distinct()
-    found = written(found.unionByName(_verified(more, texts, how)), "jaccard_links")
+    rest = written(with_nodes(rest.join(written(open_keys, "jaccard_open"), "key"), *carried), "jaccard_rest")
+    apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.sig") < F.col("b.sig")) & (F.col("a.component") != F.col("b.component"))
+    more = rest.alias("a").join(rest.alias("b"), apart & _may_link(how, "a", "b", _coarse("a", "b")))
+    more = written(more.select(F.col("a.sig").alias("u"), F.col("b.sig").alias("v")).distinct(), "jaccard_more")
+    found = written(found.unionByName(_verified(written(_likely(more, of, how), "jaccard_likely"), texts, how)), "jaccard_links")
     return found, components(found)
 
 
@@ -169,3 +200,21 @@ def jaccard_groups(docs: DataFrame, how: Jaccard = Jaccard()) -> DataFrame:
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"), Jaccard(size=3, percent=90))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], chr(0)) AS sh FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+-- of documents with equal sets one stands for all
+sets AS (SELECT doc_id, string_agg(sh, chr(1) ORDER BY sh) AS k FROM s GROUP BY doc_id),
+same AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY k) AS rep FROM sets),
+r AS (SELECT s.* FROM s JOIN same USING (doc_id) WHERE doc_id = rep),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM r a JOIN r b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM pair JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * i >= 90 * (p.n + q.n - i)),
+edge AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach AS (SELECT x, x AS y FROM edge UNION SELECT reach.x, edge.y FROM reach JOIN edge ON reach.y = edge.x),
+part AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, rep, w.doc_id) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN same ON same.doc_id = w.doc_id LEFT JOIN part ON part.x = same.rep
+"""
