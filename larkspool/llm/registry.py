@@ -8,12 +8,12 @@ from .byte_bpe import op5_byte_bpe
 from .decontaminate import op3_benchmark_decontamination
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .html_text import op1_html_extraction
-from .jaccard_join import op10_ngram_jaccard
+from .jaccard_join import OP10_SQL, op10_ngram_jaccard
 from .language_id import op9_language_id
 from .license_scan import op8_license_scan
 from .quality import op6_quality_classifier
 from .scratch import prepare
-from .substring_dedup import op7_substring_dedup
+from .substring_dedup import OP7_SQL, op7_substring_dedup
 from .toxicity import op2_toxicity_crf
 
 
@@ -41,4 +41,4 @@ _QUERIES = {
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
-ORACLES = {"op4_exact_dedup": OP4_SQL}
+ORACLES = {"op4_exact_dedup": OP4_SQL, "op7_substring_dedup": OP7_SQL, "op10_ngram_jaccard": OP10_SQL}
