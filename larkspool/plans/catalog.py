@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators import gold, quality, retrieval, staging, upsert
 from ..operators.split import split_parts
 from ..scratch import written
+from ..session import spread
 from .corpus import CHUNKS_SQL, LOADED, chunks, parts_sql, staged, table
 
 QUERIES: dict = {}
@@ -311,7 +312,7 @@ def _corpus(spark, sf_dir) -> DataFrame:
     s = staged(spark, sf_dir)
     made = gold.document_chunks(s["sections"], s["uses"].where("false"), s["controls"].where("false"))
     arms = [gold.arm(made, a).select(F.lit(a).alias("arm"), F.col("chunk_id").alias("doc"), F.col("chunk_text").alias("text"), "source_id", "section_key", "chunk_strategy") for a in gold.ARMS]
-    return written(arms[0].unionByName(arms[1]), "retrieval_corpus")  # read several times by a search
+    return spread(written(arms[0].unionByName(arms[1]), "retrieval_corpus"))  # read several times by a search
 
 
 def _questions(spark, sf_dir) -> DataFrame:
@@ -477,7 +478,7 @@ def _notice_files(spark, sf_dir) -> DataFrame:
 def _records(spark, sf_dir) -> DataFrame:
     from ..operators.notices import parse_notices
 
-    return parse_notices(_notice_files(spark, sf_dir))
+    return parse_notices(spread(_notice_files(spark, sf_dir)))
 
 
 @query()

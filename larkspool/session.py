@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -39,3 +39,12 @@ def ship_package(spark: SparkSession) -> None:
                     archive.write(path, os.path.join("larkspool", os.path.relpath(path, top)))
     context.addPyFile(target)
     context._larkspool_shipped = True
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt to all cores if they come in fewer partitions than there are cores, as one small file does.
+
+    Inputs of a cluster's size have more partitions than that and stay as they are: nothing is shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
