@@ -149,6 +149,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sheet = written(sheets(texts, window, gram), "windows_sheets")
     first = sheet.where("doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("first_id"))
+    first = written(first, "windows_first")
     sheet = sheet.join(first, ["d1", "d2"], "left")
     is_first = (F.col("doc_id") == F.col("first_id")) & (F.col("n_words") >= window)
     anchor = sheet.where(is_first).select("doc_id", "d1", F.explode("anchors").alias("anchor"))
