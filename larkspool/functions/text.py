@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -97,7 +96,7 @@ def is_hard_wrapped(lines: Column) -> Column:
     """Lines broken at a fixed width: 20 or more, upper median 50 to 85 characters, under 45 % ending in punctuation."""
     body = F.filter(_stripped(lines), lambda x: x != "")
     sizes = F.array_sort(F.transform(body, F.length))
-    median = F.get(sizes, F.expr("0") + F.floor(F.size(body) / 2).cast("int"))
+    median = F.get(sizes, F.floor(F.size(body) / 2).cast("int"))
     ended = F.size(F.filter(body, lambda x: x.rlike(r"[.:;!?]$")))
     return F.coalesce((F.size(body) >= 20) & median.between(50, 85) & (ended < 0.45 * F.size(body)), F.lit(False))
 
@@ -110,7 +109,3 @@ def reflowed(lines: Column, hard: Column) -> Column:
     paragraphs = F.regexp_replace(F.regexp_replace(F.regexp_replace(marked, "\u0002?(\u0001\u0002?)+", "\n"), "\u0002", " "), "^\n+|\n+$", "")
     kept = F.regexp_replace(F.array_join(plain, "\n"), r"^\s+|\s+$", "")
     return F.when(hard, paragraphs).otherwise(kept)
-
-
-def columns_of(names: Sequence[str]) -> list[Column]:
-    return [F.col(n) for n in names]
