@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..scratch import shared_dir, table_path, written
-from ..session import ship_package
+from ..session import ship_package, spread
 
 __all__ = ["prepare", "shared_dir", "table", "table_path", "written"]
 #: Rows of an Arrow batch unless the session says otherwise: whole texts are long rows, and a batch is held on both sides.
@@ -21,4 +21,5 @@ def prepare(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the test data, dealt to all cores if it is one small file."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
