@@ -28,6 +28,8 @@ U64 = np.uint64
 PARITIES, FINE = 4, 32
 #: A list of node ids up to this many (8 bytes each) is broadcast to pick texts; a longer one is joined by shuffling.
 BROADCAST_IDS = 2_000_000
+#: Bits of the filter that is sent to every task, as a power of two: 8 MB whatever the number of keys.
+FILTER_BITS = 26
 #: A table of nodes with their sizes and parities up to this many (60 bytes each) is broadcast; a longer one is shuffled.
 BROADCAST_NODES = 500_000
 
@@ -73,8 +75,9 @@ def node_rows(docs: DataFrame, how: Jaccard) -> DataFrame:
     return _texts(docs).mapInArrow(run, ", ".join(f"{x} long" for x in names[:-1]) + ", fine array<long>")
 
 
-def key_rows(docs: DataFrame, how: Jaccard) -> DataFrame:
-    """(key, sig) of every index entry."""
+def key_rows(docs: DataFrame, how: Jaccard, filled: np.ndarray | None = None) -> DataFrame:
+    """(key, sig) of every index entry; with a filter (``key_filter``) only of those whose key may be in it."""
+    sent = docs.sparkSession.sparkContext.broadcast(filled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,11 +85,27 @@ def key_rows(docs: DataFrame, how: Jaccard) -> DataFrame:
                 doc, shingle = _sets(part, how.size)
                 _, sig = X.signatures(doc, shingle, part.num_rows)
                 at, key = X.index_keys(doc, shingle, part.num_rows, how.percent)
+                if sent.value is not None:
+                    held = (sent.value[key >> U64(64 - FILTER_BITS + 6)] >> (key >> U64(64 - FILTER_BITS) & U64(63))) & U64(1)
+                    at, key = at[held == 1], key[held == 1]
                 yield pa.RecordBatch.from_arrays([K.signed(key), K.signed(sig[at])], ["key", "sig"])
 
     return _texts(docs).mapInArrow(run, "key long, sig long")
 
 
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with a bit for each of keys(key), by its first bits; Spark fills it word by word.
+
+    The more keys, the more others pass; what passes is joined with the keys afterwards.
+    """
+    word = F.shiftrightunsigned("key", 64 - FILTER_BITS + 6)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - FILTER_BITS}) & 63 as int))")
+    words = keys.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), dtype=U64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(U64)
+    return out
+
+
 def _may_link(how: Jaccard, a: str, b: str, differ: Column) -> Column:
     """Sizes and a lower bound of the difference allow the similarity; never false for a true link."""
     p = how.percent
@@ -146,8 +165,7 @@ def links(docs: DataFrame, nodes: DataFrame, how: Jaccard) -> tuple[DataFrame, D
     keys = key_rows(docs, how)
     shared = keys.groupBy("key").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("key")
     shared = written(shared, "jaccard_keys")
-    few = shared.count() <= BROADCAST_IDS
-    members = key_rows(docs, how).join(F.broadcast(shared) if few else shared, "key", "left_semi").distinct()
+    members = key_rows(docs, how, key_filter(shared)).join(shared, "key", "left_semi").distinct()
     members = written(members, "jaccard_members")
     # the more and the larger the keys of a node, the more of its group it can stand for
     sizes = written(members.groupBy("key").agg(F.count("*").alias("c")), "jaccard_sizes")
@@ -191,7 +209,8 @@ def jaccard_groups(docs: DataFrame, how: Jaccard = Jaccard()) -> DataFrame:
     _, parts = links(docs, nodes, how)
     least = nodes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     named = least.join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = written(named, "jaccard_named")
+    ids = written(named.groupBy("component").agg(F.min("least").alias("component_id")), "jaccard_ids")  # large groups can then be split
     of_sig = written(named.join(ids, "component").select("sig", "component_id"), "jaccard_components")
     return nodes.join(of_sig, "sig", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
