@@ -1,9 +1,10 @@
 """Licence labels by a positional index of rare words, in DataFrame expressions only.
 
 Templates are short runs of words from public licence notices.  Their words are weighted by inverse document frequency
-over the corpus; a text's rarest template words are looked up in the postings (template, position), and each posting
-proposes the place where its template would start.  A place is accepted if the template's key phrase stands there word for
-word and the words that agree carry enough of the template's weight.  Phrases that name a licence outright are found too.
+over the corpus; the rarest word of each template's key phrase is looked up in a text by the postings (template, position),
+and each posting proposes the place where its template would start.  A place is accepted if the key phrase stands there word
+for word and the words that agree carry enough of the template's weight, so one word of the key phrase proposes every place
+that can be accepted, however common it is.  Phrases that name a licence outright are found too.
 """
 
 from __future__ import annotations
@@ -40,8 +41,6 @@ TEMPLATES = (
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "copy modify and or distribute this software"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
-#: A text is looked up by those of its template words that are at least this rare (natural logarithm).
-LEAST_IDF = 2.0
 #: Part of a template's weight that must agree.
 COVERAGE = 0.7
 
@@ -74,8 +73,7 @@ def scan(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     looked at.
     """
     weights = weights if weights is not None else word_weights(docs)
-    rare = sorted((w for w, v in weights.items() if v >= LEAST_IDF), key=lambda w: (-weights[w], w))
-    templates, postings = [], {w: [] for w in rare}
+    templates, postings = [], {}
     for label, text, key in TEMPLATES:
         words, phrase = text.split(), key.split()
         at = next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
@@ -83,12 +81,13 @@ def scan(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
         v = [max(weights[x], 1e-3) for x in words]
         part = ", ".join(f"{x / sum(v):.12f}D" for x in v)
         templates.append(f"named_struct('label', '{label}', 'words', {_array(words)}, 'weights', array({part}), 'at', {at}, 'key', {_array(phrase)})")
-        for p, x in enumerate(words):
-            if x in postings:
-                postings[x].append((len(templates) - 1, p))
+        # ranked, without a least rarity: a place needs the whole key phrase, so its rarest word at its first place will do
+        rarest = max(range(len(phrase)), key=lambda j: (weights[phrase[j]], -j))
+        postings.setdefault(phrase[rarest], []).append((len(templates) - 1, at + rarest))
+    rare = sorted(postings, key=lambda w: (-weights[w], w))
     by_word = "map(" + ", ".join(f"'{w}', array({', '.join(f'named_struct({chr(39)}t{chr(39)}, {t}, {chr(39)}p{chr(39)}, {p})' for t, p in places)})" for w, places in postings.items()) + ")"
     rows = with_words(docs).withColumn("n", F.size("w"))
-    rows = rows.withColumn("present", F.expr(f"array_intersect({_array(rare)}, w)") if rare else F.expr("cast(array() as array<string>)"))
+    rows = rows.withColumn("present", F.expr(f"array_intersect({_array(rare)}, w)"))
     # places of "license" are where any base phrase ends
     ends = "if(array_contains(w, 'license'), filter(sequence(0, greatest(n - 1, 0)), i -> get(w, i) = 'license'), cast(array() as array<int>))"
     rows = rows.withColumn("ends", F.expr(ends))
@@ -98,18 +97,15 @@ def scan(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
         test = " and ".join(f"coalesce(get(w, i - {len(before) - j}) = '{x}', false)" for j, x in enumerate(before))
         base.append(f"transform(filter(ends, i -> i >= {len(before)} and {test}), i -> named_struct('at', cast(i - {len(before)} as bigint), 'label', '{label}'))")
     rows = rows.withColumn("base", F.expr(f"if(size(ends) > 0, concat({', '.join(base)}), cast(array() as array<struct<at: bigint, label: string>>))"))
-    if rare:
-        proposed = f"""if(size(present) > 0, array_distinct(flatten(transform(present, x -> flatten(transform(
-            filter(sequence(0, greatest(n - 1, 0)), i -> get(w, i) = x),
-            i -> transform(element_at({by_word}, x), q -> named_struct('t', q.t, 'o', i - q.p))))))), cast(array() as array<struct<t: int, o: int>>))"""
-        rows = rows.withColumn("proposed", F.expr(proposed)).withColumn("templates", F.expr(f"array({', '.join(templates)})"))
-        accepted = f"""transform(filter(proposed, c -> c.o + size(get(templates, c.t).words) > 0 and forall(sequence(0, size(get(templates, c.t).key) - 1),
-            j -> c.o + get(templates, c.t).at + j >= 0 and coalesce(get(w, c.o + get(templates, c.t).at + j) = get(get(templates, c.t).key, j), false))),
-            c -> named_struct('label', get(templates, c.t).label, 'part', aggregate(sequence(0, size(get(templates, c.t).words) - 1), 0D,
-              (s, j) -> s + if(c.o + j >= 0 and coalesce(get(w, c.o + j) = get(get(templates, c.t).words, j), false), get(get(templates, c.t).weights, j), 0D))))"""
-        rows = rows.withColumn("accepted", F.expr(f"filter(if(size(proposed) > 0, {accepted}, cast(array() as array<struct<label: string, part: double>>)), a -> a.part >= {COVERAGE}D)"))
-    else:
-        rows = rows.withColumn("accepted", F.expr("cast(array() as array<struct<label: string, part: double>>)"))
+    proposed = f"""if(size(present) > 0, array_distinct(flatten(transform(present, x -> flatten(transform(
+        filter(sequence(0, greatest(n - 1, 0)), i -> get(w, i) = x),
+        i -> transform(element_at({by_word}, x), q -> named_struct('t', q.t, 'o', i - q.p))))))), cast(array() as array<struct<t: int, o: int>>))"""
+    rows = rows.withColumn("proposed", F.expr(proposed)).withColumn("templates", F.expr(f"array({', '.join(templates)})"))
+    accepted = f"""transform(filter(proposed, c -> c.o + size(get(templates, c.t).words) > 0 and forall(sequence(0, size(get(templates, c.t).key) - 1),
+        j -> c.o + get(templates, c.t).at + j >= 0 and coalesce(get(w, c.o + get(templates, c.t).at + j) = get(get(templates, c.t).key, j), false))),
+        c -> named_struct('label', get(templates, c.t).label, 'part', aggregate(sequence(0, size(get(templates, c.t).words) - 1), 0D,
+          (s, j) -> s + if(c.o + j >= 0 and coalesce(get(w, c.o + j) = get(get(templates, c.t).words, j), false), get(get(templates, c.t).weights, j), 0D))))"""
+    rows = rows.withColumn("accepted", F.expr(f"filter(if(size(proposed) > 0, {accepted}, cast(array() as array<struct<label: string, part: double>>)), a -> a.part >= {COVERAGE}D)"))
     return rows.select(
         "doc_id",
         F.col("n").cast("long").alias("n_words"),
