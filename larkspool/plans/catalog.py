@@ -308,9 +308,10 @@ def q_dq_suite(spark, sf_dir):
 # --- retrieval: questions are the benchmark's texts, and a target is a document that shares a line with one
 
 
-def _corpus(spark, sf_dir) -> DataFrame:
+def _corpus(spark, sf_dir, full: bool = False) -> DataFrame:
+    """The chunks of both arms: those of sections only, or ``full``, with routine uses and controls that compete in both arms."""
     s = staged(spark, sf_dir)
-    made = gold.document_chunks(s["sections"], s["uses"].where("false"), s["controls"].where("false"))
+    made = chunks(spark, sf_dir) if full else gold.document_chunks(s["sections"], s["uses"].where("false"), s["controls"].where("false"))
     arms = [gold.arm(made, a).select(F.lit(a).alias("arm"), F.col("chunk_id").alias("doc"), F.col("chunk_text").alias("text"), "source_id", "section_key", "chunk_strategy") for a in gold.ARMS]
     return spread(written(arms[0].unionByName(arms[1]), "retrieval_corpus"))  # read several times by a search
 
@@ -354,13 +355,13 @@ scored AS (SELECT arm, qs.query_id, class, coalesce(CAST(hit AS DOUBLE), 0) AS h
 
 @query(f"WITH {_CORPUS_SQL} SELECT arm, doc, doc_length, term, tf FROM post")
 def q_bm25_postings(spark, sf_dir):
-    """Frequencies of the questions' terms in the chunks of both arms."""
+    """Frequencies of the questions' terms in the chunks of both arms, over sections only (``full_``: over all chunks)."""
     return retrieval.postings(_corpus(spark, sf_dir), retrieval.query_terms(_questions(spark, sf_dir))).select("arm", "doc", "doc_length", "term", "tf")
 
 
 @query(f"WITH {_CORPUS_SQL} SELECT arm, term, df, round(idf, 6) AS idf FROM idf")
 def q_bm25_idf(spark, sf_dir):
-    """Their inverse document frequencies by arm."""
+    """Their inverse document frequencies by arm, over sections only (``full_``: over all chunks)."""
     corpus = _corpus(spark, sf_dir)
     found = retrieval.postings(corpus, retrieval.query_terms(_questions(spark, sf_dir)))
     return retrieval.idf(found, retrieval.corpus_statistics(corpus)).withColumn("idf", F.round("idf", 6))
@@ -368,12 +369,12 @@ def q_bm25_idf(spark, sf_dir):
 
 @query(f"WITH {_TOP_SQL} SELECT arm, query_id, doc, score, CAST(rank AS INTEGER) AS rank FROM top")
 def q_bm25_topk(spark, sf_dir):
-    """The five best chunks of each question and arm."""
+    """The five best chunks of each question and arm, over sections only (``full_``: over all chunks)."""
     return retrieval.bm25(_corpus(spark, sf_dir), _questions(spark, sf_dir))
 
 
-def _scores(spark, sf_dir) -> DataFrame:
-    corpus, questions, targets = _corpus(spark, sf_dir), _questions(spark, sf_dir), _targets(spark, sf_dir)
+def _scores(spark, sf_dir, full: bool = False) -> DataFrame:
+    corpus, questions, targets = _corpus(spark, sf_dir, full), _questions(spark, sf_dir), _targets(spark, sf_dir)
     found = written(retrieval.bm25(corpus, questions), "retrieval_results").join(corpus.select("arm", "doc", "source_id", "section_key"), ["arm", "doc"])
     over = corpus.where("chunk_strategy = 'oversized_whole'").select("source_id").distinct()
     contested = targets.join(over, "source_id", "left_semi").select("query_id").distinct().withColumn("c", F.lit("contested"))
@@ -383,7 +384,7 @@ def _scores(spark, sf_dir) -> DataFrame:
 
 @query(f"WITH {_METRICS_SQL} SELECT arm, query_id, class, round(hit, 6) AS hit, round(recall, 6) AS recall, round(mrr, 6) AS mrr, round(ndcg, 6) AS ndcg FROM scored")
 def q_retrieval_metrics(spark, sf_dir):
-    """hit, recall, MRR and nDCG of each question and arm."""
+    """hit, recall, MRR and nDCG of each question and arm, over sections only (``full_``: over all chunks)."""
     return _scores(spark, sf_dir).select("arm", "query_id", "class", *(F.round(m, 6).alias(m) for m in retrieval.METRICS))
 
 
@@ -392,16 +393,65 @@ long AS (SELECT class, arm, n, unnest(['hit', 'recall', 'mrr', 'ndcg']) AS metri
 SELECT a.class, a.metric, a.n, round(a.value, 6) AS whole, round(b.value, 6) AS split, round(b.value - a.value, 6) AS delta, CASE WHEN abs(b.value - a.value) < 1e-9 THEN '=' WHEN b.value > a.value THEN '+' ELSE '-' END AS trend
 FROM long a JOIN long b ON a.class = b.class AND a.metric = b.metric AND a.arm = 'whole' AND b.arm = 'split'""")
 def q_ab_report_rollup(spark, sf_dir):
-    """Means of both arms by class and over all, and what splitting changed."""
+    """Means of both arms by class and over all, and what splitting changed, over sections only (``full_``: over all chunks)."""
     return retrieval.comparison(_scores(spark, sf_dir))
 
 
 @query(f"WITH {_METRICS_SQL} SELECT count(*) FILTER ((a.hit, a.recall, a.mrr, a.ndcg) IS DISTINCT FROM (b.hit, b.recall, b.mrr, b.ndcg)) AS moved, count(*) AS n_control FROM scored a JOIN scored b ON a.query_id = b.query_id AND a.arm = 'whole' AND b.arm = 'split' WHERE a.class = 'control'")
 def q_crowding(spark, sf_dir):
-    """Control questions whose metrics moved."""
+    """Control questions whose metrics moved, over sections only (``full_``: over all chunks)."""
     return retrieval.crowding(_scores(spark, sf_dir))
 
 
+# --- the same over the whole corpus: routine uses and controls are indexed too and compete for the places
+
+
+def _full(sql: str) -> str:
+    """SQL of a retrieval query over all chunks; a target is a section, so a control of the same source is not one."""
+    sql = sql.replace(" AND chunk_type = 'section'", "").replace("chunk_text AS text, source_id, regexp", "chunk_text AS text, source_id, section_key, regexp")
+    sql = sql.replace("SELECT top.*, c.source_id, t.query_id", "SELECT top.*, c.source_id, c.section_key, t.query_id")
+    sql = sql.replace("t.source_id = c.source_id)", "t.source_id = c.source_id AND c.section_key IS NOT DISTINCT FROM 'purpose')")
+    return sql.replace("PARTITION BY arm, query_id, source_id ORDER BY rank", "PARTITION BY arm, query_id, source_id, section_key ORDER BY rank")
+
+
+@query(_full(ORACLES["q_bm25_postings"]))
+def q_full_bm25_postings(spark, sf_dir):
+    """Frequencies of the questions' terms in all chunks of both arms."""
+    return retrieval.postings(_corpus(spark, sf_dir, True), retrieval.query_terms(_questions(spark, sf_dir))).select("arm", "doc", "doc_length", "term", "tf")
+
+
+@query(_full(ORACLES["q_bm25_idf"]))
+def q_full_bm25_idf(spark, sf_dir):
+    """Their inverse document frequencies by arm, over all chunks."""
+    corpus = _corpus(spark, sf_dir, True)
+    found = retrieval.postings(corpus, retrieval.query_terms(_questions(spark, sf_dir)))
+    return retrieval.idf(found, retrieval.corpus_statistics(corpus)).withColumn("idf", F.round("idf", 6))
+
+
+@query(_full(ORACLES["q_bm25_topk"]))
+def q_full_bm25_topk(spark, sf_dir):
+    """The five best of all chunks for each question and arm."""
+    return retrieval.bm25(_corpus(spark, sf_dir, True), _questions(spark, sf_dir))
+
+
+@query(_full(ORACLES["q_retrieval_metrics"]))
+def q_full_retrieval_metrics(spark, sf_dir):
+    """hit, recall, MRR and nDCG of each question and arm, over all chunks."""
+    return _scores(spark, sf_dir, True).select("arm", "query_id", "class", *(F.round(m, 6).alias(m) for m in retrieval.METRICS))
+
+
+@query(_full(ORACLES["q_ab_report_rollup"]))
+def q_full_ab_report_rollup(spark, sf_dir):
+    """Means of both arms over all chunks by class and over all, and what splitting changed."""
+    return retrieval.comparison(_scores(spark, sf_dir, True))
+
+
+@query(_full(ORACLES["q_crowding"]))
+def q_full_crowding(spark, sf_dir):
+    """Control questions whose metrics moved, over all chunks."""
+    return retrieval.crowding(_scores(spark, sf_dir, True))
+
+
 @query("SELECT unnest(['standard chunk absent from arm A', 'standard chunk absent from arm B', 'chunk with different text', 'sub_split chunk in arm A', 'oversized_whole chunk in arm B']) AS problem, CAST(0 AS BIGINT) AS n")
 def q_structural_validity(spark, sf_dir):
     """The arms differ in the long sections only."""
