@@ -4,6 +4,9 @@ Words are put into a canonical form in which numbers, names and units are typed
 words are hashed.  Windows of documents that are also a benchmark item's are joined by hash, so a question is found when
 its figures, names or units were exchanged.  Such a window counts only if the exchange is consistent: one value in the
 item always stands for one value in the document, and the other way round.
+
+Windows of the words themselves are hashed and joined too, so that verbatim passages are found whatever their words are:
+short ones, and those rich in figures and names, which have no template.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from .scratch import table, written
 from .toxicity import IN_WORD, lowered
 
 U64 = np.uint64
-#: Words of a window; a shorter item is one window as a whole, down to ``LEAST_ITEM`` words.
+#: Words of a window; a shorter item is one window as a whole, and under ``LEAST_ITEM`` words has no template.
 WINDOW, LEAST_ITEM = 8, 5
 #: Share of a window's words that must be plain words, and windows of an item that must be found (or all it has).
 PLAIN_SHARE, LEAST_WINDOWS = 0.5, 3
@@ -35,6 +38,8 @@ UNITS = (
     "cent cents dollar dollars euro euros usd eur percent degree degrees kwh kw watt watts volt volts mph kmh"
 ).split()
 NUMBER, NAME, UNIT = U64(1), U64(2), U64(3)
+#: Keeps hashes of words themselves apart from those of templates.
+VERBATIM = U64(0x9AE16A3B2F90404F)
 _DIGIT = np.zeros(256, dtype=bool)
 _DIGIT[0x30:0x3A] = True
 _SENTENCE = np.zeros(256, dtype=bool)
@@ -78,9 +83,10 @@ def template_windows(w: K.Words, form: np.ndarray, kind: np.ndarray, size: int)
 
 
 def window_rows(texts: DataFrame, key: str, sizes: tuple[int, ...], whole: bool, known: np.ndarray | None) -> DataFrame:
-    """(hash, key, place, slots) of the windows; ``whole``: only texts of fewer words than the longest window, as one.
+    """(hash, key, place, size, exact, slots) of the windows; ``whole``: texts of fewer words than the longest window as one.
 
-    slots are the hashes of the values behind the placeholders, in order.  ``known`` (sorted) keeps other hashes out.
+    Each window gives a row of its words (exact, without slots) and, with enough plain words, one of its template; slots
+    are the hashes of the values behind the placeholders, in order.  ``known`` (sorted) keeps other hashes out.
     """
     sent = texts.sparkSession.sparkContext.broadcast(known)
 
@@ -91,25 +97,30 @@ def window_rows(texts: DataFrame, key: str, sizes: tuple[int, ...], whole: bool,
                 n = w.counts()
                 slot = np.flatnonzero(kind)
                 for size in sizes:
-                    h, at = template_windows(w, form, kind, size)
-                    if whole:  # only texts of just this many words, and those the longest windows fit in
-                        mine = (n[w.doc[at]] == size) if size < WINDOW else np.ones(len(at), dtype=bool)
-                        h, at = h[mine], at[mine]
-                    if sent.value is not None and len(h):
-                        hit = np.minimum(np.searchsorted(sent.value, h), len(sent.value) - 1)
-                        hit = sent.value[hit] == h if len(sent.value) else np.zeros(len(h), dtype=bool)
-                        h, at = h[hit], at[hit]
-                    if not len(h):
-                        continue
-                    low, high = np.searchsorted(slot, at), np.searchsorted(slot, at + size)
-                    offsets = np.concatenate([[0], np.cumsum(high - low)])
-                    which = np.repeat(low - offsets[:-1], high - low) + np.arange(offsets[-1])
-                    values = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), K.signed(own[slot[which]]))
-                    where = pa.array((at - w.first[w.doc[at]]).astype(np.int64))
-                    yield pa.RecordBatch.from_arrays([K.signed(h), part.column(0).take(pa.array(w.doc[at])), where, pa.array(np.full(len(at), size, dtype=np.int32)), values], ["hash", key, "place", "size", "slots"])
+                    h, at = K.windows(own, w, size)
+                    kinds = [(True, K.mix(h ^ VERBATIM), at)]
+                    if size >= LEAST_ITEM:
+                        kinds.append((False, *template_windows(w, form, kind, size)))
+                    for exact, h, at in kinds:
+                        if whole:  # only texts of just this many words, and those the longest windows fit in
+                            mine = (n[w.doc[at]] == size) if size < WINDOW else np.ones(len(at), dtype=bool)
+                            h, at = h[mine], at[mine]
+                        if sent.value is not None and len(h):
+                            hit = np.minimum(np.searchsorted(sent.value, h), len(sent.value) - 1)
+                            hit = sent.value[hit] == h if len(sent.value) else np.zeros(len(h), dtype=bool)
+                            h, at = h[hit], at[hit]
+                        if not len(h):
+                            continue
+                        low, high = np.searchsorted(slot, at), np.searchsorted(slot, at + (0 if exact else size))
+                        offsets = np.concatenate([[0], np.cumsum(high - low)])
+                        which = np.repeat(low - offsets[:-1], high - low) + np.arange(offsets[-1])
+                        values = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), K.signed(own[slot[which]]))
+                        where = pa.array((at - w.first[w.doc[at]]).astype(np.int64))
+                        columns = [K.signed(h), part.column(0).take(pa.array(w.doc[at])), where, pa.array(np.full(len(at), size, dtype=np.int32)), pa.array(np.full(len(at), exact)), values]
+                        yield pa.RecordBatch.from_arrays(columns, ["hash", key, "place", "size", "exact", "slots"])
 
     rows = texts.select(F.col(key).cast("long").alias(key), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"hash long, {key} long, place long, size int, slots array<long>")
+    return rows.mapInArrow(run, f"hash long, {key} long, place long, size int, exact boolean, slots array<long>")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -117,27 +128,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     doc_id, item_ids (ascending), n_windows (windows found over all items) and reparameterised (a value was exchanged).
     Documents without a passage of the benchmark give no row, and rows that share a doc_id give one.  Null and empty
-    texts and items, and items of fewer than ``LEAST_ITEM`` words, are never found; an empty benchmark gives no rows.
-    Other columns are not looked at.
+    texts and items, and items without a word, are never found; an empty benchmark gives no rows.  Other columns are not
+    looked at.  An item is in a document if enough of its templates are, or enough of its windows word for word (for an
+    item of few words: all of it), capitals and punctuation aside.
     """
-    items = written(window_rows(benchmark, "item_id", tuple(range(LEAST_ITEM, WINDOW + 1)), True, None), "benchmark_windows")
+    items = written(window_rows(benchmark, "item_id", tuple(range(1, WINDOW + 1)), True, None), "benchmark_windows")
     sizes = tuple(sorted(r[0] for r in items.select("size").distinct().collect()))
-    items = items.select("hash", "item_id", F.col("slots").alias("values"), F.col("place").alias("item_place"))
+    items = items.select("hash", "item_id", "exact", F.col("slots").alias("values"), F.col("place").alias("item_place"))
     hashes = items.select("hash").distinct()
     known = None
     if (n := hashes.count()) <= SENT_HASHES:
         known = np.sort(hashes.toArrow().column("hash").to_numpy().view(U64)) if n else np.zeros(0, dtype=U64)
-    found = window_rows(docs, "doc_id", sizes, False, known).drop("size")
-    need = items.groupBy("item_id").agg(F.least(F.lit(LEAST_WINDOWS), F.countDistinct("item_place")).alias("need"))
-    right = items.join(need, "item_id")
+    found = window_rows(docs, "doc_id", sizes, False, known).drop("size", "exact")
+    need = items.groupBy("item_id", "exact").agg(F.least(F.lit(LEAST_WINDOWS), F.countDistinct("item_place")).alias("need"))
+    right = items.join(need, ["item_id", "exact"])
     pairs = found.join(F.broadcast(right) if known is not None else right, "hash")
     both = F.arrays_zip(F.col("slots").alias("a"), F.col("values").alias("b"))
     pairs = pairs.withColumn("kinds", F.size(F.array_distinct(both)))
     pairs = pairs.where((F.col("kinds") == F.size(F.array_distinct("slots"))) & (F.col("kinds") == F.size(F.array_distinct("values"))))
     hits = pairs.groupBy("doc_id", "item_id").agg(
-        F.countDistinct("item_place").alias("windows"), F.max("need").alias("need"), F.max(F.coalesce(F.col("slots") != F.col("values"), F.lit(False))).alias("changed")
+        F.size(F.collect_set("item_place")).cast("long").alias("windows"),
+        *(F.size(F.collect_set(F.when(F.col("exact") == e, F.col("item_place")))).alias(f"n_{e}") for e in (True, False)),
+        *(F.max(F.when(F.col("exact") == e, F.col("need"))).alias(f"need_{e}") for e in (True, False)),
+        F.max(F.coalesce(F.col("slots") != F.col("values"), F.lit(False))).alias("changed"),
     )
-    return hits.where("windows >= need").groupBy("doc_id").agg(
+    return hits.where("n_True >= need_True or n_False >= need_False").groupBy("doc_id").agg(
         F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.sum("windows").alias("n_windows"), F.max("changed").alias("reparameterised")
     )
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from larkspool.llm import license_scan
+from larkspool.llm import decontaminate, license_scan
 from tests.llm.test_models import table
 
 BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
@@ -14,3 +14,12 @@ def test_common_licence_words_are_looked_up(spark, n, every):
     rows = [(i, f"row {i} {BSD if i % 2 else CC} end" if i % every == 0 else f"row {i} of other words") for i in range(n)]
     got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.scan(table(spark, rows)).collect()}
     assert got == {i: (("bsd" if i % 2 else "cc") if i % every == 0 else "", pytest.approx(1.0 if i % every == 0 else 0.0)) for i in range(n)}
+
+
+def test_verbatim_passages_without_a_template(spark):
+    texts = {1: "12 + 7 - 3 * 4 = 16", 2: "What is 3 + 4", 3: "Alice Bob Carol Dora Emil Fritz Gerda Hans Ida Jan", 4: "5 min in 7 s", 5: "1 22 333 4444 55555 1 22 333 4444 1 2", 6: "42", 7: "?!", 8: "Boston is the largest city in this state"}
+    items = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    rows = [(10 + i, f"so that {t}. Then more") for i, t in texts.items()]
+    rows += [(30, "12 + 7 - 3 * 4 = 17"), (31, "What is 3 + 5"), (32, "142 and 420"), (33, "Alice Bob Dora Carol Emil Gerda Fritz Hans Jan Ida"), (34, "what is 3 plus 4")]
+    got = {r["doc_id"]: (r["item_ids"], r["reparameterised"]) for r in decontaminate.contaminated(table(spark, rows), items).collect()}
+    assert got == {10 + i: ([i], False) for i in texts if i != 7}
