@@ -297,7 +297,7 @@ def q_split_effect_having(spark, sf_dir):
 UNION ALL SELECT 'section_parts.effect', count(*) FILTER (n < 2) FROM (SELECT source_id, count(*) AS n FROM chunks WHERE chunk_strategy = 'sub_split' GROUP BY source_id))
 SELECT test, CAST(failures AS BIGINT) AS failures, CASE WHEN failures > (CASE test WHEN 'chunks.shortest' THEN 25 ELSE 0 END) THEN 'error' WHEN failures > 0 THEN 'warn' ELSE 'pass' END AS status FROM v""")
 def q_dq_suite(spark, sf_dir):
-    """Tests of the suite on the chunk table that can fail on these tables."""
+    """Four tests of the suite, those that its SQL has (``full_dq_suite``: all of them)."""
     s = staged(spark, sf_dir)
     limits = T.Limits()
     parts = gold.split_sections(s["sections"]), gold.split_routine_uses(s["uses"]), gold.split_controls(s["controls"])
@@ -305,6 +305,31 @@ def q_dq_suite(spark, sf_dir):
     return quality.results([t for t in suite if t.name in ("lost_documents", "chunks.shortest", "chunks.ceiling", "section_parts.effect")])
 
 
+@query()
+def q_full_dq_suite(spark, sf_dir):
+    """All tests of the suite, on the columns that they look at; of texts those are null or not, and lengths."""
+
+    def kept(name: str, rows: DataFrame, text: str, *columns: str) -> DataFrame:
+        slim = [F.when(F.col(text).isNotNull(), "").alias(text)] if text else []
+        return written(rows.select(*columns, *slim), f"suite_{name}")
+
+    s = staged(spark, sf_dir)
+    part = ("part_no", "total_parts", "part_char_count")
+    suite = quality.chunk_suite(
+        kept("bronze", s["bronze"], "raw_text", "source_id", "doc_type"),
+        kept("notices", s["notices"], "", "source_id", "parse_failed", "title", "section_count"),
+        kept("controls", s["controls"], "", "source_id", "parse_failed", "family_id", "is_enhancement", "parent_control"),
+        kept("sections", s["sections"], "section_text", "source_id"),
+        kept("uses", s["uses"], "routine_use_full_text", "source_id"),
+        kept("section_parts", gold.split_sections(s["sections"]), "part_text", "source_id", "section_key", *part),
+        kept("use_parts", gold.split_routine_uses(s["uses"]), "part_text", "source_id", "routine_use_label", *part),
+        kept("control_parts", gold.split_controls(s["controls"]), "part_text", "source_id", *part),
+        kept("chunks", chunks(spark, sf_dir), "chunk_text", "chunk_id", "doc_type", "chunk_type", "chunk_strategy", "chunk_char_count", "source_id", "section_key"),
+        T.Limits(),
+    )
+    return quality.results(suite)
+
+
 # --- retrieval: questions are the benchmark's texts, and a target is a document that shares a line with one
 
 
