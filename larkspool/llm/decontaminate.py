@@ -2,8 +2,9 @@
 
 Words are put into a canonical form in which numbers, names and units are typed placeholders, and windows of canonical
 words are hashed.  Windows of documents that are also a benchmark item's are joined by hash, so a question is found when
-its figures, names or units were exchanged.  Such a window counts only if the exchange is consistent: one value in the
-item always stands for one value in the document, and the other way round.
+its figures, names or units were exchanged.  Such windows count only if the exchange is consistent: one value in the
+item always stands for one value in the document, over all windows of one copy (document and item places apart by the same
+number of words).  Values that differ in the item may be equal in the document.
 
 Windows of the words themselves are hashed and joined too, so that verbatim passages are found whatever their words are:
 short ones, and those rich in figures and names, which have no template.
@@ -143,14 +144,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     need = items.groupBy("item_id", "exact").agg(F.least(F.lit(LEAST_WINDOWS), F.countDistinct("item_place")).alias("need"))
     right = items.join(need, ["item_id", "exact"])
     pairs = found.join(F.broadcast(right) if known is not None else right, "hash")
-    both = F.arrays_zip(F.col("slots").alias("a"), F.col("values").alias("b"))
-    pairs = pairs.withColumn("kinds", F.size(F.array_distinct(both)))
-    pairs = pairs.where((F.col("kinds") == F.size(F.array_distinct("slots"))) & (F.col("kinds") == F.size(F.array_distinct("values"))))
-    hits = pairs.groupBy("doc_id", "item_id").agg(
-        F.size(F.collect_set("item_place")).cast("long").alias("windows"),
-        *(F.size(F.collect_set(F.when(F.col("exact") == e, F.col("item_place")))).alias(f"n_{e}") for e in (True, False)),
-        *(F.max(F.when(F.col("exact") == e, F.col("need"))).alias(f"need_{e}") for e in (True, False)),
+    # windows of one copy; each place of the item is there once, so the sets are bounded by the item's length
+    both = F.array_distinct(F.arrays_zip(F.col("slots").alias("a"), F.col("values").alias("b")))
+    copies = pairs.groupBy("doc_id", "item_id", "exact", (F.col("place") - F.col("item_place")).alias("shift")).agg(
+        F.array_distinct(F.flatten(F.collect_set(both))).alias("both"), F.collect_set("item_place").alias("places"), F.max("need").alias("need"),
         F.max(F.coalesce(F.col("slots") != F.col("values"), F.lit(False))).alias("changed"),
+    )
+    copies = copies.where(F.size("both") == F.size(F.array_distinct("both.b")))
+    count = lambda places: F.size(F.array_distinct(F.flatten(F.collect_list(places)))).cast("long")
+    hits = copies.groupBy("doc_id", "item_id").agg(
+        count("places").alias("windows"),
+        *(count(F.when(F.col("exact") == e, F.col("places"))).alias(f"n_{e}") for e in (True, False)),
+        *(F.max(F.when(F.col("exact") == e, F.col("need"))).alias(f"need_{e}") for e in (True, False)),
+        F.max("changed").alias("changed"),
     )
     return hits.where("n_True >= need_True or n_False >= need_False").groupBy("doc_id").agg(
         F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.sum("windows").alias("n_windows"), F.max("changed").alias("reparameterised")

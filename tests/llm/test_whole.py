@@ -23,3 +23,16 @@ def test_verbatim_passages_without_a_template(spark):
     rows += [(30, "12 + 7 - 3 * 4 = 17"), (31, "What is 3 + 5"), (32, "142 and 420"), (33, "Alice Bob Dora Carol Emil Gerda Fritz Hans Jan Ida"), (34, "what is 3 plus 4")]
     got = {r["doc_id"]: (r["item_ids"], r["reparameterised"]) for r in decontaminate.contaminated(table(spark, rows), items).collect()}
     assert got == {10 + i: ([i], False) for i in texts if i != 7}
+
+
+def test_values_are_exchanged_consistently_over_a_whole_copy(spark):
+    question = "A train leaves Boston at 5 pm and travels 60 miles per hour for 3 hours until Boston is far away"
+    items = spark.createDataFrame([(1, question)], "item_id long, text string")
+    swap = lambda **by: " ".join(by.get(f"w{w}", w) for w in question.split())
+    broken = question.replace("Boston at", "Denver at").replace("5 pm and travels 60 miles per hour for 3", "7 pm and travels 60 miles per hour for 9")
+    changed, merged = swap(wBoston="Denver", w60="75"), swap(w5="4", w3="4")
+    close = "we saw that 5 plus 3 is what we need now"
+    items = items.union(spark.createDataFrame([(2, close)], "item_id long, text string"))
+    rows = [(15, broken), (16, changed), (17, merged), (18, f"{changed}. So {swap(wBoston='Austin')}."), (19, close.replace("5", "4").replace("3", "4")), (20, f"{broken}. {question}")]
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.contaminated(table(spark, rows), items).collect()}
+    assert got == {16: [1], 17: [1], 18: [1], 19: [2], 20: [1]}
