@@ -199,12 +199,14 @@ def fit(texts: list[str], label: np.ndarray, weight: np.ndarray) -> Field:
     at_part = np.cumsum([0, *(len(f) for f, _ in parts)])
     parts = [n for _, n in parts]
     y = token_labels(feature, np.repeat(np.arange(len(counts)), counts), label) if len(feature) else np.zeros(0, dtype=bool)
-    # sequences of a fixed length: all with toxic words first, then others evenly; padded positions repeat a neutral word
+    # sequences of a fixed length: those with toxic words first, then others, both evenly over the texts; padded positions repeat a neutral word
     at = np.arange(0, len(y), SEQUENCE)
     hot = np.add.reduceat(y, at) > 0 if len(y) else np.zeros(0, dtype=bool)
     cold = at[~hot]
     cold = cold[:: max(1, len(cold) // (SEQUENCES // 2))]
-    chosen = np.concatenate([at[hot][: SEQUENCES // 2], cold])
+    hot = at[hot]
+    most = min(len(hot), SEQUENCES // 2)
+    chosen = np.concatenate([hot[np.arange(most) * len(hot) // max(1, most)], cold])
     chosen = chosen[chosen + SEQUENCE <= len(y)]
     weights, moves = np.zeros(FEATURES), np.zeros(4)
     if len(chosen) and y.any():

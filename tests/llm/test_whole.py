@@ -1,8 +1,9 @@
 """Rows and tables of which earlier versions did only a part."""
 
+import numpy as np
 import pytest
 
-from larkspool.llm import decontaminate, license_scan
+from larkspool.llm import decontaminate, license_scan, toxicity
 from tests.llm.test_models import table
 
 BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
@@ -36,3 +37,13 @@ def test_values_are_exchanged_consistently_over_a_whole_copy(spark):
     rows = [(15, broken), (16, changed), (17, merged), (18, f"{changed}. So {swap(wBoston='Austin')}."), (19, close.replace("5", "4").replace("3", "4")), (20, f"{broken}. {question}")]
     got = {r["doc_id"]: r["item_ids"] for r in decontaminate.contaminated(table(spark, rows), items).collect()}
     assert got == {16: [1], 17: [1], 18: [1], 19: [2], 20: [1]}
+
+
+def test_toxic_sequences_of_late_documents_train_the_field(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SEQUENCES", 60)
+    clean = [f"plain words here {i} nothing and some more of them follow now" for i in range(200)]
+    toxic = [f"plain {w} words {i} here nothing and some more of them follow now" for w in ("nasty", "vile") for i in range(100)]
+    field = toxicity.fit(clean + toxic, np.array([0] * 200 + [1] * 200), np.ones(400))
+    rows = [(1, "plain nasty words here nothing"), (2, "plain vile words here nothing"), (3, "plain words here nothing")]
+    got = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in toxicity.score_documents(table(spark, rows), field).collect()}
+    assert got == {1: [(6, 11)], 2: [(6, 10)], 3: []}
