@@ -15,6 +15,9 @@ def shared_dir(spark: SparkSession) -> str:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = jvm_dir.get() if jvm_dir.isDefined() else None
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="larkspool-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -28,4 +31,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again: later stages start from the files."""
     path = table_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._larkspool_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` returned.  Only for those whose last reader has itself been written: a table that a
+    later stage is still to read from, or to read again after the loss of an executor, must stay."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._larkspool_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
