@@ -1,6 +1,7 @@
 """Exact, near and substring duplicates against brute force on small tables with every odd case."""
 
 import random
+import uuid
 from hashlib import sha256
 
 import numpy as np
@@ -8,12 +9,13 @@ import pyarrow as pa
 import pytest
 
 from larkspool.llm import kernels as K
+from larkspool.llm import exact_dedup as exact_module
 from larkspool.llm import partition_index as X
 from larkspool.llm.components import components
 from larkspool.llm.exact_dedup import DigestIndex, exact_dedup
 from larkspool.llm.jaccard_join import Jaccard, jaccard_groups
 from larkspool.llm.substring_dedup import repeated_windows
-from larkspool.llm.scratch import prepare
+from larkspool.llm.scratch import prepare, shared_dir, written
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, sig long, key string, h1 string"
 
@@ -70,16 +72,47 @@ def test_exact(spark):
 
 
 def test_index_is_kept_and_appended(spark):
-    index = DigestIndex(spark, buckets=4)
+    prepare(spark)
+    path = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
+    index = DigestIndex(spark, path, buckets=4)
     first = {r["doc_id"]: r["kept"] for r in index.add(table(spark, [(5, "a b"), (6, "c")])).collect()}
-    second = {r["doc_id"]: (r["keep_id"], r["kept"]) for r in index.add(table(spark, [(1, "ab"), (7, "d"), (8, " d"), (9, "c c")])).collect()}
     assert first == {5: True, 6: True}
+    index.close()
+    with pytest.raises(ValueError):  # files that are no index are never written over
+        DigestIndex(spark, path.rsplit("/", 1)[0])
+    # another session: another catalogue entry, the same folder and its number of buckets
+    index = DigestIndex(spark, path, buckets=7)
+    assert index.buckets == 4
+    verdicts = index.add(table(spark, [(1, "ab"), (7, "d"), (8, " d"), (9, "c c")]))
+    second = {r["doc_id"]: (r["keep_id"], r["kept"]) for r in verdicts.collect()}
     assert second == {1: (5, False), 7: (8, False), 8: (8, True), 9: (9, True)}
-    assert sorted(r["keep_id"] for r in index.table().collect()) == [5, 6, 8, 9]
-    plan = index.table().groupBy("text_sha256").count()._jdf.queryExecution().executedPlan().toString()
+    third = {r["doc_id"]: (r["keep_id"], r["kept"]) for r in index.add(table(spark, [(3, "a  b"), (4, "c"), (None, "d"), (None, "zz")])).collect()}
+    assert third[3] == (3, True) and third[4] == (4, True)  # longer, and as long with a smaller doc_id
+    assert sorted(r["old"]["doc_id"] or 0 for r in index.keepers().collect()) == [0, 3, 4, 8, 9]
+    plan = index.keepers()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # bucketed by digest
 
 
+def test_first_load_is_an_anti_join(spark):
+    """The verdicts of a new index come through the anti-join too, and the index is never shuffled."""
+    plans = []
+
+    def held(df, name):
+        if name == "digest_winners":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    prepare(spark)
+    old, exact_module.written = exact_module.written, held
+    try:
+        exact_dedup(table(spark, [(1, "a"), (2, " a")])).collect()
+    finally:
+        exact_module.written = old
+    assert "SortMergeJoin" in plans[0] and "LeftAnti" in plans[0]
+    for part in plans[0].split("SortMergeJoin")[1:]:
+        assert "Bucketed: true" in part
+
+
 def brute_groups(rows, size, percent):
     sets = {}
     for d, t in rows:
@@ -107,6 +140,34 @@ def test_near(spark, size, percent, seed):
     assert got == brute_groups(rows, size, percent)
 
 
+def test_near_in_a_hot_group(spark):
+    """2,000 variants of one text, most pairs of them just under the similarity: links, and few pairs that come to nothing."""
+    r = random.Random(9)
+    base = [f"b{i}" for i in range(160)]
+    rows = []
+    for d in range(2000):
+        w = list(base)
+        for i in r.sample(range(0, 160, 4), 4):  # each change touches five shingles
+            w[i] = f"x{r.randrange(10**6)}" if r.random() < 0.9 else "same"
+        rows.append((d, " ".join(w)))
+    sets = {}
+    shingles = [{sets.setdefault(tuple(w[i : i + 5]), len(sets)) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    there = np.zeros((len(rows), len(sets)), dtype=np.float32)
+    for d, s in enumerate(shingles):
+        there[d, list(s)] = 1
+    both, n = there @ there.T, there.sum(axis=1)
+    linked = 100 * both >= 80 * (n[:, None] + n[None, :] - both)
+    assert 0 < np.triu(linked, 1).mean() < 0.5
+    label = np.arange(len(rows))
+    while True:
+        least = np.where(linked, label[None, :], len(rows)).min(axis=1)
+        if (least == label).all():
+            break
+        label = least
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_groups(table(spark, rows)).collect()}
+    assert got == dict(enumerate(label.tolist()))
+
+
 def test_near_of_nothing(spark):
     assert jaccard_groups(table(spark, [])).count() == 0
     assert [tuple(r) for r in jaccard_groups(table(spark, [(4, None), (3, " ")])).orderBy("doc_id").collect()] == [(3, 0, 3), (4, 0, 4)]
@@ -126,8 +187,15 @@ def test_similar_sets_always_share_a_key(percent):
             if not len(y) or 100 * both < percent * (len(x) + len(y) - both):
                 continue
             doc = np.concatenate([np.zeros(len(x), dtype=np.int64), np.ones(len(y), dtype=np.int64)])
-            at, key = X.index_keys(doc, np.concatenate([x, y]), 2, percent)
-            assert np.intersect1d(key[at == 0], key[at == 1]).size, (n, drop)
+            at, key, band, bound = X.index_keys(doc, np.concatenate([x, y]), 2, percent)
+            a, b = (dict(zip(key[at == i].tolist(), zip(band[at == i].tolist(), bound[at == i].tolist()))) for i in (0, 1))
+            common = a.keys() & b.keys()
+            assert common, (n, drop)
+            met = {}
+            for k in common:
+                assert a[k][0] == b[k][0]
+                met.setdefault(a[k][0], []).append(max(a[k][1], b[k][1]))
+            assert any(len(bounds) >= max(bounds) for bounds in met.values()), (n, drop)
 
 
 def brute_windows(rows, window):
