@@ -6,6 +6,9 @@ its figures, names or units were exchanged.  Such windows count only if the exch
 item always stands for one value in the document, over all windows of one copy (document and item places apart by the same
 number of words).  Values that differ in the item may be equal in the document.
 
+A number or a name may be of several words ("1,250", "New York"): a run of them is one placeholder, so that an exchange may
+change how many words there are.  A capital that only begins a sentence makes no name.
+
 Windows of the words themselves are hashed and joined too, so that verbatim passages are found whatever their words are:
 short ones, and those rich in figures and names, which have no template.
 """
@@ -13,6 +16,7 @@ short ones, and those rich in figures and names, which have no template.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +33,9 @@ WINDOW, LEAST_ITEM = 8, 5
 #: Share of a window's words that must be plain words, and windows of an item that must be found (or all it has).
 PLAIN_SHARE, LEAST_WINDOWS = 0.5, 3
 #: Window hashes of the benchmark up to this many (8 bytes each) go to every task, which drops other windows before the
-#: join; with more of them all windows are joined.
-SENT_HASHES = 2_000_000
+#: join; with more of them all windows are joined.  Rows of its windows up to this many (100 bytes each) are broadcast; more
+#: of them, as when a window is in very many items, are joined by shuffling.
+SENT_HASHES, SENT_ROWS = 2_000_000, 300_000
 #: Units of measure, fixed values.
 UNITS = (
     "mm cm m km in ft yd mi mile miles inch inches foot feet meter meters metre metres kilometer kilometers kilometre kilometres "
@@ -52,8 +57,25 @@ def _unit_hashes() -> np.ndarray:
     return np.unique(K.words(data, offsets, IN_WORD).hashes())
 
 
-def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[K.Words, np.ndarray, np.ndarray, np.ndarray]:
-    """Words, their own hashes (lowered), their canonical hashes and the kind of placeholder (0 for plain words)."""
+#: What may stand between two words of one number, and between two of one name.
+_IN_NUMBER, _IN_NAME = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_IN_NUMBER[[ord(c) for c in ",.:/"]] = True
+_IN_NAME[[ord(c) for c in " -"]] = True
+
+
+@dataclass
+class Template:
+    """The words of a slice with runs of one number or name as one: value and canonical hashes, kinds, text of each."""
+
+    value: np.ndarray
+    form: np.ndarray
+    kind: np.ndarray
+    doc: np.ndarray
+    first: np.ndarray
+
+
+def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[K.Words, np.ndarray, Template]:
+    """Words, their own hashes (lowered), and the text in canonical form (kind 0 for plain words)."""
     low = lowered(data)
     w = K.words(low, offsets, IN_WORD)
     own = w.hashes()
@@ -72,13 +94,24 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[K.Words, np.ndarra
         capitals = np.concatenate([[0], np.cumsum(low != data)])  # words in capitals throughout are shouted, not names
         single = (capitals[w.end] - capitals[w.start] == 1) & (w.end - w.start > 1)
         kind[(kind == 0) & inside & lead & single] = NAME
-    return w, own, np.where(kind == 0, own, K.mix(kind ^ U64(0x6C62272E07BB0142))), kind
-
-
-def template_windows(w: K.Words, form: np.ndarray, kind: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    # words that go on with the number or the name before them
+    on = np.zeros(len(own), dtype=bool)
+    if len(own) > 1:
+        gap = data[np.minimum(w.end[:-1], len(data) - 1)]
+        near = (kind[1:] == kind[:-1]) & (w.doc[1:] == w.doc[:-1]) & (w.start[1:] - w.end[:-1] == 1)
+        on[1:] = near & (((kind[1:] == NUMBER) & _IN_NUMBER[gap]) | ((kind[1:] == NAME) & _IN_NAME[gap]))
+    head = np.flatnonzero(~on)
+    end = np.append(head[1:], len(own))
+    value = np.where(end - head == 1, own[head], K.mix(K.spans_hash(own, head, end, K.WORD_BASES[1]) + (end - head).astype(U64))) if len(own) else own
+    kind, doc = kind[head], w.doc[head]
+    form = np.where(kind == 0, value, K.mix(kind ^ U64(0x6C62272E07BB0142)))
+    return w, own, Template(value, form, kind, doc, np.searchsorted(doc, np.arange(len(offsets))))
+
+
+def template_windows(t: Template, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first word of the windows with enough plain words."""
-    h, at = K.windows(form, w, size)
-    plain = np.concatenate([[0], np.cumsum(kind == 0)])
+    h, at = K.windows(t.form, t, size)
+    plain = np.concatenate([[0], np.cumsum(t.kind == 0)])
     keep = plain[at + size] - plain[at] >= PLAIN_SHARE * size
     return h[keep], at[keep]
 
@@ -94,17 +127,16 @@ def window_rows(texts: DataFrame, key: str, sizes: tuple[int, ...], whole: bool,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.slices(batch, "text"):
-                w, own, form, kind = canonical(*K.buffers(part.column(1)))
-                n = w.counts()
-                slot = np.flatnonzero(kind)
+                w, own, t = canonical(*K.buffers(part.column(1)))
+                slot = np.flatnonzero(t.kind)
                 for size in sizes:
                     h, at = K.windows(own, w, size)
-                    kinds = [(True, K.mix(h ^ VERBATIM), at)]
+                    kinds = [(True, w, K.mix(h ^ VERBATIM), at)]
                     if size >= LEAST_ITEM:
-                        kinds.append((False, *template_windows(w, form, kind, size)))
-                    for exact, h, at in kinds:
+                        kinds.append((False, t, *template_windows(t, size)))
+                    for exact, of, h, at in kinds:
                         if whole:  # only texts of just this many words, and those the longest windows fit in
-                            mine = (n[w.doc[at]] == size) if size < WINDOW else np.ones(len(at), dtype=bool)
+                            mine = (np.diff(of.first)[of.doc[at]] == size) if size < WINDOW else np.ones(len(at), dtype=bool)
                             h, at = h[mine], at[mine]
                         if sent.value is not None and len(h):
                             hit = np.minimum(np.searchsorted(sent.value, h), len(sent.value) - 1)
@@ -115,9 +147,9 @@ def window_rows(texts: DataFrame, key: str, sizes: tuple[int, ...], whole: bool,
                         low, high = np.searchsorted(slot, at), np.searchsorted(slot, at + (0 if exact else size))
                         offsets = np.concatenate([[0], np.cumsum(high - low)])
                         which = np.repeat(low - offsets[:-1], high - low) + np.arange(offsets[-1])
-                        values = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), K.signed(own[slot[which]]))
-                        where = pa.array((at - w.first[w.doc[at]]).astype(np.int64))
-                        columns = [K.signed(h), part.column(0).take(pa.array(w.doc[at])), where, pa.array(np.full(len(at), size, dtype=np.int32)), pa.array(np.full(len(at), exact)), values]
+                        values = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), K.signed(t.value[slot[which]]))
+                        where = pa.array((at - of.first[of.doc[at]]).astype(np.int64))
+                        columns = [K.signed(h), part.column(0).take(pa.array(of.doc[at])), where, pa.array(np.full(len(at), size, dtype=np.int32)), pa.array(np.full(len(at), exact)), values]
                         yield pa.RecordBatch.from_arrays(columns, ["hash", key, "place", "size", "exact", "slots"])
 
     rows = texts.select(F.col(key).cast("long").alias(key), F.col("text").cast("string").alias("text"))
@@ -129,8 +161,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     doc_id, item_ids (ascending), n_windows (windows found over all items) and reparameterised (a value was exchanged).
     Documents without a passage of the benchmark give no row, and rows that share a doc_id give one.  Null and empty
-    texts and items, and items without a word, are never found; an empty benchmark gives no rows.  Other columns are not
-    looked at.  An item is in a document if enough of its templates are, or enough of its windows word for word (for an
+    texts and items, and items without a word, are never found; an empty benchmark gives no rows; long texts are searched
+    whole.  Other columns, of either table, are not looked at.  An item is in a document if enough of its templates are, or enough of its windows word for word (for an
     item of few words: all of it), capitals and punctuation aside.
     """
     items = written(window_rows(benchmark, "item_id", tuple(range(1, WINDOW + 1)), True, None), "benchmark_windows")
@@ -142,8 +174,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         known = np.sort(hashes.toArrow().column("hash").to_numpy().view(U64)) if n else np.zeros(0, dtype=U64)
     found = window_rows(docs, "doc_id", sizes, False, known).drop("size", "exact")
     need = items.groupBy("item_id", "exact").agg(F.least(F.lit(LEAST_WINDOWS), F.countDistinct("item_place")).alias("need"))
-    right = items.join(need, ["item_id", "exact"])
-    pairs = found.join(F.broadcast(right) if known is not None else right, "hash")
+    right = written(items.join(need, ["item_id", "exact"]), "benchmark_items")
+    pairs = found.join(F.broadcast(right) if right.count() <= SENT_ROWS else right, "hash")
     # windows of one copy; each place of the item is there once, so the sets are bounded by the item's length
     both = F.array_distinct(F.arrays_zip(F.col("slots").alias("a"), F.col("values").alias("b")))
     copies = pairs.groupBy("doc_id", "item_id", "exact", (F.col("place") - F.col("item_place")).alias("shift")).agg(
