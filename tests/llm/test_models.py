@@ -220,6 +220,46 @@ def test_pages(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def page_texts(spark, pages, **more):
+    prepare(spark)
+    rows = [(i, f"http://h{i}.example/", p, 1, "x") for i, p in enumerate(pages)]
+    return [r["text"] for r in sorted(html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, path long, host string")).collect())]
+
+
+def test_names_alone_drop_nothing(spark):
+    long = "word " * 40
+    assert page_texts(spark, [
+        f"<div class='post content-form'><p>Body {long}</p></div>",
+        "<div class='market-share-report'><p>Body two, longer than the other</div><div>short</div>",
+        f"<main><div class='legal'><p>Ruling {long}</div></main>",
+        f"<article><p>Before {long}<div class='tag-content'>kept</div><div class='post-tags'>a b</div></article>",
+        f"<form><div><p>A page in a form {long}</div></form>",
+        f"<article><header><h1>Head</h1><p>By A. Writer</header><p>{long}<div class='post-comments'>{long * 3}</div></article>",
+        "<div class='comments'><p>Nothing else here</div>",
+    ]) == [f"Body {long}".strip(), "Body two, longer than the other", f"Ruling {long}".strip(), f"Before {long}".strip() + "\nkept", f"A page in a form {long}".strip(),
+           f"Head\n{long}".strip(), "Nothing else here"]
+
+
+def test_deep_broken_and_repeated_pages_in_linear_time(spark):
+    import time
+
+    bad = ["<div>x" * 8000, "<b><p>x</i>" * 8000, "<p title='" * 8000 + "x", "<!" * 8000 + "x", "<div>" * 8000 + "</span>" * 8000 + "deep", "<a href=x>" * 8000 + "in links", "<" * 30000, "<li><b>x" * 8000]
+    for page in bad:
+        began = time.time()
+        html_text.main_text(page, None)
+        assert time.time() - began < 1
+    whole = "<article>" + "<p>long text of a page</p>" * 40000 + "</article>"
+    got = page_texts(spark, [whole, whole, None, bad[4], "<div>unclosed 'quote <p title='x>y</p> z"])
+    assert got[0] == got[1] == "\n".join(["long text of a page"] * 40000) and got[2] == "" and got[3] == "deep" and got[4].startswith("unclosed")
+
+
+def test_many_hosts_give_the_same(spark, monkeypatch):
+    pages = [f"<div class='a{i % 3}'><p>some text {i}</div><div class='b'>more {i} text</div>" for i in range(20)]
+    want = page_texts(spark, pages)
+    monkeypatch.setattr(html_text, "BROADCAST_HOSTS", 0)
+    assert page_texts(spark, pages) == want
+
+
 @needs_data
 def test_pages_are_their_articles(spark):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
