@@ -82,6 +82,8 @@ class ByteBPE:
     def _compatible(self, a: int, b: int) -> bool:
         got = self.pairs.get(key := a << 32 | b)
         if got is None:
+            if len(self.pairs) >= PIECES_KEPT:
+                self.pairs.clear()
             got = self.pairs[key] = self._merge(self.tokens[a] + self.tokens[b]) == [a, b]
         return got
 
@@ -120,8 +122,6 @@ class ByteBPE:
             if len(piece) <= LONGEST_KEPT:
                 if len(self.pieces) >= PIECES_KEPT:
                     self.pieces.clear()
-                if len(self.pairs) >= PIECES_KEPT:
-                    self.pairs.clear()
                 self.pieces[piece] = got
         return got
 
@@ -156,7 +156,8 @@ def coder(rank_file: str, pattern: str) -> ByteBPE:
 def encode_table(docs: DataFrame, rank_file: str | None = None, pattern: str | None = None, keep_ids: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids (array of int, if ``keep_ids``), ids_sha256 and decoded_sha256 of every whole text.
 
-    Null counts as empty: no tokens, and the digests of nothing.  Every row gives one row, repeated ones too.  Texts of
+    Null counts as empty: no tokens, and the digests of nothing.  An empty table gives no rows, and every row one, repeated
+    ones too.  Texts of
     any length are encoded piece by piece.  Other columns are not looked at.
     """
     if rank_file is None or pattern is None:

@@ -23,10 +23,12 @@ from .scratch import table
 U64 = np.uint64
 NGRAM = 4
 HASHES = 2
-SLOTS = 1 << 21
-#: Training documents for each language, and its n-grams that are kept, at most.
-FIT_EACH, NGRAMS_EACH = 4000, 40_000
-#: An n-gram is a language's if it makes this share of its n-grams at least, and this part of the largest share it has.
+#: Slots of the filter for each n-gram of the language with the most of them, at least; a power of two of them in all.
+SLOTS_EACH = 16
+#: Training documents for each language, at most.
+FIT_EACH = 4000
+#: An n-gram is a language's if it makes this share of its n-grams at least (so none has over 100,000), and this part of the
+#: largest share that it has in any language.
 LEAST_SHARE, LEAST_PART = 1e-5, 0.08
 UNKNOWN = "und"
 LETTER = np.zeros(256, dtype=bool)
@@ -50,8 +52,8 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return K.mix(code[whole]), doc[: len(code)][whole]
 
 
-def _slots(h: np.ndarray) -> list[np.ndarray]:
-    return [((h >> U64(21 * i)) % U64(SLOTS)).astype(np.int64) for i in range(HASHES)]
+def _slots(h: np.ndarray, slots: int) -> list[np.ndarray]:
+    return [((h >> U64(24 * i)) % U64(slots)).astype(np.int64) for i in range(HASHES)]
 
 
 @dataclass
@@ -59,24 +61,26 @@ class Filters:
     """Languages, and for each group of 64 of them the slots' masks; false-positive rates by language."""
 
     languages: list[str]
+    slots: int
     masks: list[np.ndarray]
     false_rate: np.ndarray
 
     @staticmethod
     def of(languages: list[str], grams: dict[str, np.ndarray]) -> Filters:
         kind = np.uint8 if len(languages) <= 8 else np.uint64
-        masks = [np.zeros(SLOTS, dtype=kind) for _ in range(-(-len(languages) // 64))]
+        slots = 1 << max(10, int(SLOTS_EACH * max((len(g) for g in grams.values()), default=1) - 1).bit_length())
+        masks = [np.zeros(slots, dtype=kind) for _ in range(-(-len(languages) // 64))]
         rates = []
         for i, language in enumerate(languages):
             bit = kind(1 << (i % 64))
-            for at in _slots(grams[language]):
+            for at in _slots(grams[language], slots):
                 masks[i // 64][at] |= bit
             rates.append(float(((masks[i // 64] & bit) != 0).mean()) ** HASHES)
-        return Filters(languages, masks, np.array(rates))
+        return Filters(languages, slots, masks, np.array(rates))
 
     def hits(self, h: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
         """For each text and language, the n-grams that its filter holds, less the expected false ones."""
-        at = _slots(h)
+        at = _slots(h, self.slots)
         n = np.bincount(doc, minlength=docs)
         out = np.zeros((docs, len(self.languages)))
         for g, mask in enumerate(self.masks):
@@ -111,14 +115,15 @@ def fit_filters(docs: DataFrame) -> Filters:
     rows = rows.sort_by([("lang", "ascending"), ("share", "descending"), ("gram", "ascending")])
     languages = sorted(set(rows.column("lang").to_pylist()))
     lang, gram = np.array(rows.column("lang").to_pylist(), dtype=object), rows.column("gram").to_numpy().view(U64)
-    return Filters.of(languages, {x: gram[lang == x][:NGRAMS_EACH] for x in languages})
+    return Filters.of(languages, {x: gram[lang == x] for x in languages})
 
 
 def identify(docs: DataFrame, filters: Filters) -> DataFrame:
     """lang_pred and score of every row of docs(doc_id, text).
 
     A null text and a text without a letter are ``und`` with score 0; so is everything if nothing was learned.  A text
-    with letters but no known n-gram gets the first language and score 0, as ties do.  Other columns are not looked at.
+    with letters but no known n-gram gets the first language and score 0; of tied languages the first is taken.  Long texts are
+    read whole.  An empty table gives no rows, and every row one, repeated ones too.  Other columns are not looked at.
     """
     sent = docs.sparkSession.sparkContext.broadcast(filters)
 

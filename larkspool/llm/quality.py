@@ -21,7 +21,7 @@ from .scratch import table
 
 U64 = np.uint64
 #: Rows for words and for shapes, dimensions, and nonzero entries of an index vector.
-ROWS, SHAPES, DIMENSIONS, NONZERO = 1 << 12, 1 << 10, 24, 3
+ROWS, SHAPES, DIMENSIONS, NONZERO = 1 << 18, 1 << 10, 24, 3
 HIDDEN = 24
 #: Labelled documents of each label that the network is fitted on, at most; a fifth of them sets the temperature.
 FIT_EACH = 4000
@@ -52,7 +52,7 @@ def word_rows(part: pa.RecordBatch) -> tuple[K.Words, np.ndarray, np.ndarray]:
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """Dimensions and signs of the nonzero entries of every row's index vector."""
     h = K.mix(np.arange((ROWS + SHAPES) * NONZERO, dtype=U64) ^ U64(0xA24BAED4963EE407)).reshape(-1, NONZERO)
-    return (h % U64(DIMENSIONS)).astype(np.int64), np.where((h >> U64(40)) & U64(1), 1.0, -1.0)
+    return (h % U64(DIMENSIONS)).astype(np.int64), np.where((h >> U64(40)) & U64(1), np.float32(1), np.float32(-1))
 
 
 def context_sums(docs: DataFrame) -> DataFrame:
@@ -61,28 +61,28 @@ def context_sums(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, sign = index_vectors()
-        total, seen = np.zeros((ROWS + SHAPES) * DIMENSIONS), np.zeros(ROWS + SHAPES)
+        total, seen = np.zeros((ROWS + SHAPES) * DIMENSIONS, dtype=np.float32), np.zeros(ROWS + SHAPES)
         for batch in batches:
             for part in K.slices(batch, "text"):
                 w, own, shape = word_rows(part)
                 inside = w.doc[1:] == w.doc[:-1]
                 for rows in (own, shape):
-                    seen += np.bincount(rows, minlength=len(seen))
+                    np.add.at(seen, rows, 1.0)
                     a, b = rows[:-1][inside], rows[1:][inside]
                     for x, y in ((a, b), (b, a)):
                         for k in range(NONZERO):
-                            total += np.bincount(x * DIMENSIONS + where[y, k], weights=sign[y, k], minlength=len(total))
+                            np.add.at(total, x * DIMENSIONS + where[y, k], sign[y, k])
         some = np.flatnonzero(seen)
         vectors = total.reshape(-1, DIMENSIONS)[some]
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some]), *(pa.array(vectors[:, i].copy()) for i in range(DIMENSIONS))], names)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = texts.mapInArrow(run, "row long, n double, " + ", ".join(f"{x} double" for x in names[2:]))
+    parts = texts.mapInArrow(run, "row long, n double, " + ", ".join(f"{x} float" for x in names[2:]))
     return parts.groupBy("row").agg(*(F.sum(x).alias(x) for x in names[1:]))
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
-    """Unit vectors of all rows, weighted down where a row is frequent; the size is fixed whatever the corpus."""
+    """Unit vectors of all rows, weighted down where a row is frequent; the size is fixed whatever the corpus (25 MB)."""
     rows = context_sums(docs).toArrow()
     vectors, n = np.zeros((ROWS + SHAPES, DIMENSIONS)), np.zeros(ROWS + SHAPES)
     at = rows.column("row").to_numpy()
@@ -196,7 +196,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, vectors: np.ndarray) -> Netw
 def score_documents(docs: DataFrame, vectors: np.ndarray, network: Network) -> DataFrame:
     """score (0 to 1) and predicted (score >= 0.3) of every row of docs(doc_id, text).
 
-    Null and empty texts get the score of no words.  Other columns are not looked at.
+    Null and empty texts get the score of no words; long ones are read whole.  An empty table gives no rows, and every row
+    one, repeated ones too.  Other columns are not looked at.
     """
     sent = docs.sparkSession.sparkContext.broadcast((vectors, network))
 

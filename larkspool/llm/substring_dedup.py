@@ -103,9 +103,9 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
     """Removal intervals, their words and the digest of what stays, of texts(doc_id, text, tag, starts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (part for batch in batches for part in K.slices(batch, "text")):
             rows = []
-            for doc_id, text, tag, starts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc_id, text, tag, starts in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 words = (text or "").encode().split()
                 one = pa.RecordBatch.from_arrays([pa.array([text], pa.string())], ["text"])
                 w = K.words(*K.buffers(one.column(0)))
@@ -143,7 +143,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
 
     A word goes if a window of ``window`` words over it also starts in a document with a smaller doc_id, judged on the
     input.  Words are separated by ASCII white space, unchanged.  Null and empty texts and texts shorter than a window
-    lose nothing.  Rows that share a doc_id take nothing from each other; rows without one neither take nor lose.
+    lose nothing; long ones are read whole.  An empty table gives no rows.  Rows that share a doc_id take nothing from each other; rows without one neither take nor lose.
     Other columns are not looked at.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -153,7 +153,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     sheet = sheet.join(first, ["d1", "d2"], "left")
     is_first = (F.col("doc_id") == F.col("first_id")) & (F.col("n_words") >= window)
     anchor = sheet.where(is_first).select("doc_id", "d1", F.explode("anchors").alias("anchor"))
-    several = anchor.groupBy("anchor").agg(F.min("d1").alias("a"), F.max("d1").alias("b")).where("a <> b").select("anchor")
+    several = written(anchor.groupBy("anchor").agg(F.min("d1").alias("a"), F.max("d1").alias("b")).where("a <> b").select("anchor"), "windows_several")  # common anchors can then be split
     marks = written(anchor.join(several, "anchor").groupBy("doc_id", "d1").agg(F.collect_set("anchor").alias("anchors")), "windows_marks")
     rows = window_rows(_picked(texts, marks), window, gram)
     known = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1", "h2", "least")

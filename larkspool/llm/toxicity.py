@@ -26,8 +26,10 @@ IN_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80
 PREFIXES, SUFFIXES = (3, 4, 5, 6, 7, 8), (4, 6)
 #: Hashed features; the last one is the bias.
 FEATURES = 1 << 18
-#: Labelled documents that the field and the document score are fitted on, at most, for each label.
+#: Labelled documents that the field and the document score are fitted on, at most, for each label; bytes of their texts
+#: for each label, and of one such text.
 FIT_TOXIC, FIT_CLEAN = 1500, 2500
+FIT_BYTES, FIT_TEXT = 6_000_000, 200_000
 #: Words of a training sequence, and sequences at most.
 SEQUENCE, SEQUENCES = 24, 24_000
 #: A word of a toxic document counts if its sign is this part of the document's surest one at least.
@@ -199,50 +201,54 @@ def fit(texts: list[str], label: np.ndarray, weight: np.ndarray) -> Field:
     at_part = np.cumsum([0, *(len(f) for f, _ in parts)])
     parts = [n for _, n in parts]
     y = token_labels(feature, np.repeat(np.arange(len(counts)), counts), label) if len(feature) else np.zeros(0, dtype=bool)
-    # sequences of a fixed length: those with toxic words first, then others, both evenly over the texts; padded positions repeat a neutral word
-    at = np.arange(0, len(y), SEQUENCE)
-    hot = np.add.reduceat(y, at) > 0 if len(y) else np.zeros(0, dtype=bool)
-    cold = at[~hot]
-    cold = cold[:: max(1, len(cold) // (SEQUENCES // 2))]
-    hot = at[hot]
-    most = min(len(hot), SEQUENCES // 2)
-    chosen = np.concatenate([hot[np.arange(most) * len(hot) // max(1, most)], cold])
-    chosen = chosen[chosen + SEQUENCE <= len(y)]
+    # sequences of one text each: those with toxic words first, then others, both evenly over the texts
+    first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    each = -(-counts // SEQUENCE)
+    of = np.repeat(np.arange(len(counts)), each)
+    at = first[of] + SEQUENCE * (np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each))
+    size = np.minimum(first[of + 1] - at, SEQUENCE)
+    hot = np.add.reduceat(y, at) > 0 if len(at) else np.zeros(0, dtype=bool)
+    some = lambda x, most: x[np.arange(min(len(x), most)) * len(x) // max(1, min(len(x), most))]
+    chosen = np.concatenate([some(np.flatnonzero(hot), SEQUENCES // 2), some(np.flatnonzero(~hot), SEQUENCES // 2)])
+    begins, size, chosen = at[chosen] == first[of[chosen]], size[chosen], at[chosen]
     weights, moves = np.zeros(FEATURES), np.zeros(4)
     if len(chosen) and y.any():
-        where = chosen[:, None] + np.arange(SEQUENCE)
+        place = np.arange(SEQUENCE)
+        there = place < size[:, None]  # a short sequence's other places say nothing
+        where = np.where(there, chosen[:, None] + place, chosen[:, None])
         f, t = feature[where], y[where].astype(np.int64)
+        moved = there[:, 1:]
         used = np.unique(f)
         f = np.searchsorted(used, f).astype(np.int32)
-        count = f.size / f.shape[-1]
+        count = float(size.sum())
 
         def gradient(x):
             u, start, move = x[:-4], x[-4], np.array([[0.0, x[-3]], [x[-2], x[-1]]])
             e = sum(u[f[:, :, k]] for k in range(f.shape[2]))
             step = np.exp(move)
             alpha = np.empty((len(f), SEQUENCE, 2))
-            alpha[:, 0] = np.stack([np.ones(len(f)), np.exp(np.clip(start + e[:, 0], -30, 30))], axis=1)
+            alpha[:, 0] = np.stack([np.ones(len(f)), np.exp(np.clip(start * begins + e[:, 0], -30, 30))], axis=1)
             alpha[:, 0] /= alpha[:, 0].sum(axis=1, keepdims=True)
             emit = np.stack([np.ones_like(e), np.exp(np.clip(e, -30, 30))], axis=2)
             for i in range(1, SEQUENCE):
-                alpha[:, i] = (alpha[:, i - 1] @ step) * emit[:, i]
-                alpha[:, i] /= alpha[:, i].sum(axis=1, keepdims=True)
+                ahead = (alpha[:, i - 1] @ step) * emit[:, i]
+                alpha[:, i] = np.where(there[:, i, None], ahead / ahead.sum(axis=1, keepdims=True), alpha[:, i - 1])
             beta = np.ones((len(f), SEQUENCE, 2))
             pairs = np.zeros((2, 2))
             for i in range(SEQUENCE - 1, 0, -1):
                 ahead = emit[:, i] * beta[:, i]
                 joint = alpha[:, i - 1][:, :, None] * step * ahead[:, None, :]
-                pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-                beta[:, i - 1] = ahead @ step.T
-                beta[:, i - 1] /= beta[:, i - 1].sum(axis=1, keepdims=True)
+                pairs += (joint / joint.sum(axis=(1, 2), keepdims=True))[there[:, i]].sum(axis=0)
+                back = ahead @ step.T
+                beta[:, i - 1] = np.where(there[:, i, None], back / back.sum(axis=1, keepdims=True), beta[:, i])
             p = alpha * beta
             p = p[:, :, 1] / p.sum(axis=2)
-            off = p - t
+            off = np.where(there, p - t, 0.0)
             g = np.empty_like(x)
             g[:-4] = sum(np.bincount(f[:, :, k].ravel(), weights=off.ravel(), minlength=len(used)) for k in range(f.shape[2]))
-            g[-4] = off[:, 0].sum()
+            g[-4] = off[begins, 0].sum()
             for k, (i, j) in enumerate(((0, 1), (1, 0), (1, 1))):
-                g[-3 + k] = pairs[i, j] - ((t[:, :-1] == i) & (t[:, 1:] == j)).sum()
+                g[-3 + k] = pairs[i, j] - ((t[:, :-1] == i) & (t[:, 1:] == j) & moved).sum()
             return g / count + 1e-6 * x
 
         x = _adam(gradient, np.concatenate([np.zeros(len(used)), [-2.0, -2.0, 0.0, 0.0]]), 80, 0.15)
@@ -261,11 +267,20 @@ def fit(texts: list[str], label: np.ndarray, weight: np.ndarray) -> Field:
 
 
 def fit_field(docs: DataFrame, labels: DataFrame) -> Field:
-    """Fit on a bounded sample of the labelled rows that are not held out (``FIT_TOXIC`` and ``FIT_CLEAN`` rows)."""
+    """Fit on a bounded sample of the labelled rows that are not held out.
+
+    The sample has ``FIT_TOXIC`` and ``FIT_CLEAN`` documents and ``FIT_BYTES`` bytes of each label, about and at most; texts
+    of over ``FIT_TEXT`` bytes are not in it.
+    """
     known = labels_of(labels, "toxic").where(fold(4) != 2).select("doc_id", "label")
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    some = bounded(known.where("label = 1"), "label", FIT_TOXIC).unionByName(bounded(known.where("label <> 1"), "label", FIT_CLEAN))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id").toArrow()
+    toxic, clean = known.where("label = 1"), known.where("label <> 1")
+    some = bounded(toxic, "label", FIT_TOXIC).unionByName(bounded(clean, "label", FIT_CLEAN))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id")
+    rows = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= FIT_TEXT)
+    size = {r["toxic"]: r["bytes"] for r in rows.groupBy((F.col("label") == 1).alias("toxic")).agg(F.sum(F.octet_length("text")).alias("bytes")).collect()}
+    share = F.when(F.col("label") == 1, F.lit(min(1.0, FIT_BYTES / max(1, size.get(True) or 0)))).otherwise(F.lit(min(1.0, FIT_BYTES / max(1, size.get(False) or 0))))
+    rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_003)) < share * 1_000_003).toArrow()
     rows = rows.sort_by("doc_id")
     label = (rows.column("label").to_numpy() == 1).astype(np.int64)
     texts = rows.column("text").to_pylist()
@@ -277,7 +292,8 @@ def fit_field(docs: DataFrame, labels: DataFrame) -> Field:
 def score_documents(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
     """score (0 to 1), predicted (score >= 0.3) and toxic spans (code point offsets, end not included) of every text.
 
-    Null and empty texts have a score too, that of no words.  Every row gives one row.  Other columns are not looked at.
+    Null and empty texts have a score too, that of no words; long ones are read whole.  An empty table gives no rows, and
+    every row one, repeated ones too.  Other columns are not looked at.
     """
     sent = docs.sparkSession.sparkContext.broadcast(field)
 
