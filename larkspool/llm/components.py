@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import written
+from .scratch import forget, written
 
 #: Far above what the rounds need (about the logarithm of the longest path); reaching it is an error, never a silent stop.
 MAX_ROUNDS = 60
@@ -20,7 +20,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = written(down.groupBy("u").agg(F.min("v").alias("m")), "cc_least")
     moved = down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 

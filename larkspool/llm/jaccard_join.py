@@ -21,17 +21,19 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from . import partition_index as X
 from .components import components
-from .scratch import table, written
+from .scratch import forget, table, written
 
 U64 = np.uint64
 #: Longs of parity cells for each set: those that joins carry, and those that pairs are tested by before their texts.
 PARITIES, FINE = 4, 32
 #: A list of node ids up to this many (8 bytes each) is broadcast to pick texts; a longer one is joined by shuffling.
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 500_000
+#: Frequent keys of a node that joins carry, so that most pairs are given under one of their keys only.
+LISTED = 12
 #: Bits of the filter that is sent to every task, as a power of two: 8 MB whatever the number of keys.
 FILTER_BITS = 26
 #: A table of nodes with their sizes and parities up to this many (60 bytes each) is broadcast; a longer one is shuffled.
-BROADCAST_NODES = 500_000
+BROADCAST_NODES = 250_000
 
 
 @dataclass(frozen=True)
@@ -76,7 +78,7 @@ def node_rows(docs: DataFrame, how: Jaccard) -> DataFrame:
 
 
 def key_rows(docs: DataFrame, how: Jaccard, filled: np.ndarray | None = None) -> DataFrame:
-    """(key, sig) of every index entry; with a filter (``key_filter``) only of those whose key may be in it."""
+    """(key, sig, band, bound) of every index entry; with a filter (``key_filter``) only of those whose key may be in it."""
     sent = docs.sparkSession.sparkContext.broadcast(filled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,13 +86,13 @@ def key_rows(docs: DataFrame, how: Jaccard, filled: np.ndarray | None = None) ->
             for part in K.slices(batch, "text"):
                 doc, shingle = _sets(part, how.size)
                 _, sig = X.signatures(doc, shingle, part.num_rows)
-                at, key = X.index_keys(doc, shingle, part.num_rows, how.percent)
+                at, key, band, bound = X.index_keys(doc, shingle, part.num_rows, how.percent)
                 if sent.value is not None:
                     held = (sent.value[key >> U64(64 - FILTER_BITS + 6)] >> (key >> U64(64 - FILTER_BITS) & U64(63))) & U64(1)
-                    at, key = at[held == 1], key[held == 1]
-                yield pa.RecordBatch.from_arrays([K.signed(key), K.signed(sig[at])], ["key", "sig"])
+                    at, key, band, bound = (x[held == 1] for x in (at, key, band, bound))
+                yield pa.RecordBatch.from_arrays([K.signed(key), K.signed(sig[at]), pa.array(band), pa.array(bound)], ["key", "sig", "band", "bound"])
 
-    return _texts(docs).mapInArrow(run, "key long, sig long")
+    return _texts(docs).mapInArrow(run, "key long, sig long, band int, bound int")
 
 
 def key_filter(keys: DataFrame) -> np.ndarray:
@@ -160,16 +162,35 @@ def _picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return _texts(docs).join(F.broadcast(ids) if small else ids, "doc_id").groupBy("sig").agg(F.first("text").alias("text"))
 
 
+def _kept(members: DataFrame) -> DataFrame:
+    """(key, sig, c) of the entries that sets can meet under: c sets have the key, two at least.
+
+    A set that is similar to another shares ``bound`` keys of a band with it at least, so of its keys there the most
+    frequent ``bound`` - 1 may go (the order is the same for all sets; ``partition_index`` says why no pair is lost).  Sets
+    that only share a few frequent keys by chance, as texts with a line in common do, then share none.
+    """
+    sizes = written(members.groupBy("key").agg(F.count("*").alias("c")), "jaccard_sizes")
+    ranked = members.join(sizes, "key").groupBy("sig", "band").agg(
+        F.max("bound").alias("bound"), F.sort_array(F.collect_list(F.struct("c", "key")), asc=False).alias("entries")
+    )
+    left = ranked.select("sig", F.explode(F.expr("slice(entries, bound, size(entries))")).alias("entry")).select("entry.key", "sig")
+    left = written(left, "jaccard_left")
+    sizes = written(left.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "jaccard_sizes")
+    out = written(left.join(sizes, "key"), "jaccard_kept")
+    forget(left, sizes)
+    return out
+
+
 def links(docs: DataFrame, nodes: DataFrame, how: Jaccard) -> tuple[DataFrame, DataFrame]:
     """Links between nodes that connect whatever is linked, as (u, v); and (node, component) of the nodes that have any."""
-    keys = key_rows(docs, how)
+    keys = key_rows(docs, how).select("key", "sig")
     shared = keys.groupBy("key").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("key")
     shared = written(shared, "jaccard_keys")
-    members = key_rows(docs, how, key_filter(shared)).join(shared, "key", "left_semi").distinct()
-    members = written(members, "jaccard_members")
+    members = written(key_rows(docs, how, key_filter(shared)).join(shared, "key", "left_semi").distinct(), "jaccard_members")
+    kept = _kept(members)
+    forget(shared, members)
     # the more and the larger the keys of a node, the more of its group it can stand for
-    sizes = written(members.groupBy("key").agg(F.count("*").alias("c")), "jaccard_sizes")
-    central = written(members.join(sizes, "key").groupBy("sig").agg(F.sum("c").alias("central")), "jaccard_central")
+    central = written(kept.groupBy("sig").agg(F.sum("c").alias("central")), "jaccard_central")
     carried = ["n_shingles", *(f"p{i}" for i in range(PARITIES))]
     first = nodes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in (*carried, "fine")))
     of = written(first.join(central, "sig"), "jaccard_nodes")
@@ -181,20 +202,30 @@ def links(docs: DataFrame, nodes: DataFrame, how: Jaccard) -> tuple[DataFrame, D
         return rows.join(F.broadcast(table) if small else table, "sig")
 
     # written, so that both sides of the next join are plain exchanges and hot keys can be split
-    pivots = written(with_nodes(members, "central").groupBy("key").agg(F.max(F.struct("central", "sig")).alias("b")).select("key", F.col("b.sig").alias("v")), "jaccard_pivots")
-    star = members.join(pivots, "key").where("sig <> v").select(F.col("sig").alias("u"), "v").distinct()
+    pivots = written(with_nodes(kept, "central").groupBy("key").agg(F.max(F.struct("central", "sig")).alias("b")).select("key", F.col("b.sig").alias("v")), "jaccard_pivots")
+    star = kept.join(pivots, "key").where("sig <> v").select(F.col("sig").alias("u"), "v").distinct()
     star = written(_likely(star, of, how), "jaccard_star")
     found = written(_verified(star, texts, how), "jaccard_links")
     parts = written(components(found).withColumnRenamed("node", "sig"), "jaccard_parts")
+    forget(central, pivots, star)
 
     small_parts = parts.count() <= BROADCAST_NODES
-    rest = members.join(F.broadcast(parts) if small_parts else parts, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    open_keys = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    rest = written(with_nodes(rest.join(written(open_keys, "jaccard_open"), "key"), *carried), "jaccard_rest")
+    rest = kept.join(F.broadcast(parts) if small_parts else parts, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    open_keys = written(rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key"), "jaccard_open")
+    rest = written(rest.join(open_keys, "key"), "jaccard_rest")
+    # the most frequent open keys of each node, in an order that is the same for all: two nodes that have one of them in
+    # common meet under the first such key only
+    top = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("c")).alias("c"), "key"))), 1, LISTED)
+    listed = written(rest.groupBy("sig").agg(top.alias("top")).select("sig", F.col("top.key").alias("listed")), "jaccard_listed")
+    rest = with_nodes(rest.join(F.broadcast(listed) if small else listed, "sig"), *carried)
+    rest = written(rest.select("key", "sig", "component", "listed", *carried), "jaccard_rest")
     apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.sig") < F.col("b.sig")) & (F.col("a.component") != F.col("b.component"))
-    more = rest.alias("a").join(rest.alias("b"), apart & _may_link(how, "a", "b", _coarse("a", "b")))
+    once = F.coalesce(F.get(F.array_intersect("a.listed", "b.listed"), F.lit(0)), F.col("a.key")) == F.col("a.key")
+    more = rest.alias("a").join(rest.alias("b"), apart & _may_link(how, "a", "b", _coarse("a", "b")) & once)
     more = written(more.select(F.col("a.sig").alias("u"), F.col("b.sig").alias("v")).distinct(), "jaccard_more")
-    found = written(found.unionByName(_verified(written(_likely(more, of, how), "jaccard_likely"), texts, how)), "jaccard_links")
+    likely = written(_likely(more, of, how), "jaccard_likely")
+    found = written(found.unionByName(_verified(likely, texts, how)), "jaccard_links")
+    forget(kept, of, texts, parts, open_keys, listed, rest, more, likely)
     return found, components(found)
 
 

@@ -14,6 +14,13 @@ Empty segments would be equal in unrelated sets, so they get no key.  What this
   the segments hold one element at most in both, and such sets meet under a key of their own.
 * neighbourhood bands: a pair that is lost has two segments that hold one element at most in both (one segment is spare),
   so the sets meet under a key of those two.  Bands of one segment lose nothing.
+
+Spare segments say more: of the segments that two similar sets of an exact band compare, ``spare`` + 1 at least are equal,
+and no more of them are empty in both than either set has empty ones.  So the two share ``spare`` + 1 - empties keys at least,
+whichever of the two counts its empties.  ``index_keys`` returns this bound with each key; whoever joins the keys may put
+those of a set in one order for all sets and leave out the last bound - 1 (prefix filter): of sets x and y with the bounds
+b and c, let x be the one whose kept keys end first in that order.  If no shared key were among the kept ones of both, all
+shared keys would be among the b - 1 that x leaves out; but they are b at least.
 """
 
 from __future__ import annotations
@@ -90,16 +97,25 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, docs: int) -> tuple[np.ndar
     return n, np.where(n > 0, digest, U64(0))
 
 
-def index_keys(doc: np.ndarray, shingle: np.ndarray, docs: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(doc, key) of every index entry of the sets; ``doc`` ascending, shingles distinct within a doc."""
+def index_keys(doc: np.ndarray, shingle: np.ndarray, docs: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, key, band, bound) of every index entry of the sets; ``doc`` ascending, shingles distinct within a doc.
+
+    ``bound``: entries of this doc and band that a similar set has at least (1 if that is all that is known).  A key is in
+    one band only.
+    """
     n = np.bincount(doc, minlength=docs)
     if not len(doc):
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U64)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
     table = bands(percent, max(64, 1 << int(n.max() * 100 // percent + 1).bit_length()))
     highs = np.array([b.high for b in table])
     own = np.searchsorted(highs, n)
     following = np.searchsorted(highs, n * 100 // percent)
-    out_doc, out_key = [], []
+    out_doc, out_key, out_band, out_bound = [], [], [], []
+
+    def give(of, key, band, bound):
+        for out, x in ((out_doc, of), (out_key, key), (out_band, band.astype(np.int32)), (out_bound, bound.astype(np.int32))):
+            out.append(x)
+
     for which, band_of in ((0, own), (1, following)):
         chosen = (n > 0) & ((band_of > own) if which else True)
         mine = chosen[doc]
@@ -130,24 +146,22 @@ def index_keys(doc: np.ndarray, shingle: np.ndarray, docs: int, percent: int) ->
         number = np.arange(first[-1]) - first[owner]
         full = size > 0
         salt = _salt(at[owner], number, 2)
-        out_doc.append(owner[full])
-        out_key.append(K.mix(content[full] ^ salt[full]))
         empties = np.bincount(owner[~full], minlength=docs)
+        bound = np.where(deletes, 1, np.maximum(1, spare + 1 - empties))
+        give(owner[full], K.mix(content[full] ^ salt[full]), at[owner[full]], bound[owner[full]])
         thin = np.bincount(owner[size <= 1], minlength=docs)
         near = deletes | (empties > spare)
         take = near[d] & (size[cell] > 1)
-        out_doc.append(d[take])
-        out_key.append(K.mix((content[cell[take]] - h[take]) ^ salt[cell[take]]))
+        give(d[take], K.mix((content[cell[take]] - h[take]) ^ salt[cell[take]]), at[d[take]], np.ones(int(take.sum())))
         crowded = np.flatnonzero(chosen & ~deletes & (2 * thin > used_low))
-        out_doc.append(crowded)
-        out_key.append(_salt(at[crowded], np.zeros(len(crowded), dtype=np.int64), 3))
+        # a key of its own kind, as a band of its own: it is no part of what the bound counts
+        give(crowded, _salt(at[crowded], np.zeros(len(crowded), dtype=np.int64), 3), -1 - at[crowded], np.ones(len(crowded)))
         for x in np.flatnonzero(chosen & deletes & (used > 1) & (thin > 1)):
             cells = np.flatnonzero(size[first[x] : first[x + 1]] <= 1)
             i, j = np.triu_indices(len(cells), 1)
             pair = cells[i] * 4096 + cells[j]
-            out_doc.append(np.full(len(pair), x))
-            out_key.append(_salt(np.full(len(pair), at[x]), pair, 4))
-    return np.concatenate(out_doc), np.concatenate(out_key)
+            give(np.full(len(pair), x), _salt(np.full(len(pair), at[x]), pair, 4), np.full(len(pair), at[x]), np.ones(len(pair)))
+    return tuple(np.concatenate(out) for out in (out_doc, out_key, out_band, out_bound))
 
 
 def shingles(hashes: np.ndarray, w: K.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
