@@ -78,7 +78,7 @@ def node_rows(docs: DataFrame, how: Jaccard) -> DataFrame:
 
 
 def key_rows(docs: DataFrame, how: Jaccard, filled: np.ndarray | None = None) -> DataFrame:
-    """(key, sig, band, bound) of every index entry; with a filter (``key_filter``) only of those whose key may be in it."""
+    """(key, sig) of every index entry; with a filter (``key_filter``) only of those whose key may be in it, and their (band, bound)."""
     sent = docs.sparkSession.sparkContext.broadcast(filled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,12 +87,13 @@ def key_rows(docs: DataFrame, how: Jaccard, filled: np.ndarray | None = None) ->
                 doc, shingle = _sets(part, how.size)
                 _, sig = X.signatures(doc, shingle, part.num_rows)
                 at, key, band, bound = X.index_keys(doc, shingle, part.num_rows, how.percent)
-                if sent.value is not None:
-                    held = (sent.value[key >> U64(64 - FILTER_BITS + 6)] >> (key >> U64(64 - FILTER_BITS) & U64(63))) & U64(1)
-                    at, key, band, bound = (x[held == 1] for x in (at, key, band, bound))
-                yield pa.RecordBatch.from_arrays([K.signed(key), K.signed(sig[at]), pa.array(band), pa.array(bound)], ["key", "sig", "band", "bound"])
+                if sent.value is None:
+                    yield pa.RecordBatch.from_arrays([K.signed(key), K.signed(sig[at])], ["key", "sig"])
+                    continue
+                held = (sent.value[key >> U64(64 - FILTER_BITS + 6)] >> (key >> U64(64 - FILTER_BITS) & U64(63))) & U64(1) == 1
+                yield pa.RecordBatch.from_arrays([K.signed(key[held]), K.signed(sig[at[held]]), pa.array(band[held]), pa.array(bound[held])], ["key", "sig", "band", "bound"])
 
-    return _texts(docs).mapInArrow(run, "key long, sig long, band int, bound int")
+    return _texts(docs).mapInArrow(run, "key long, sig long" + ("" if filled is None else ", band int, bound int"))
 
 
 def key_filter(keys: DataFrame) -> np.ndarray:
@@ -183,7 +184,7 @@ def _kept(members: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, nodes: DataFrame, how: Jaccard) -> tuple[DataFrame, DataFrame]:
     """Links between nodes that connect whatever is linked, as (u, v); and (node, component) of the nodes that have any."""
-    keys = key_rows(docs, how).select("key", "sig")
+    keys = key_rows(docs, how)
     shared = keys.groupBy("key").agg(F.min("sig").alias("a"), F.max("sig").alias("b")).where("a <> b").select("key")
     shared = written(shared, "jaccard_keys")
     members = written(key_rows(docs, how, key_filter(shared)).join(shared, "key", "left_semi").distinct(), "jaccard_members")
