@@ -609,8 +609,8 @@ def q_flatten_catalog(spark, sf_dir):
     more = pair(id=F.concat(F.col("n_name"), F.lit(".1")), title="More", props=F.array(pair(name="label", value=F.concat(F.col("n_name"), F.lit("(1)"))), pair(name="status", value=status)))
     control = pair(id=F.col("n_name"), title=F.col("n_name"), props=label, params=F.array(pair(id="p1", label=F.col("r_name"))), parts=parts, controls=F.array(more))
     groups = nations.groupBy("r_name").agg(F.to_json(F.struct(F.first("r_name").alias("id"), F.first("r_name").alias("title"), F.collect_list(control).alias("controls"))).alias("group"))
-    names = [r["n_name"] for r in nations.select("n_name").collect()]
-    flat = flatten_catalog(groups, {"low": names, "high": names}, None)
+    lists = nations.select(F.col("n_name").alias("control_id"), F.explode(F.array(*(F.struct(F.lit(b).alias("baseline"), F.lit(i).alias("place")) for i, b in enumerate(("low", "high"))))).alias("b"))
+    flat = flatten_catalog(groups, lists.select("control_id", "b.*"), None)
     m = F.from_json("metadata", staging.CONTROL_METADATA)
     return flat.select("source_id", "raw_text", m["is_enhancement"].alias("is_enhancement"), m["family_id"].alias("family_id"), F.array_join(m["baselines"], ",").alias("baselines"))
 
