@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -10,11 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from ..scratch import written
 from ..session import ship_package
 
 K1, B = 1.5, 0.75
-#: Distinct query terms up to these many are broadcast, and more are joined by shuffling; more query vectors are an error.
-MOST_TERMS, MOST_QUERIES = 1_000_000, 100_000
+#: Terms of all queries together, and targets, up to these many are broadcast; more of them are joined by shuffling.
+MOST_TERMS, MOST_TARGETS = 500_000, 500_000
+#: Query vectors that are sent to every task at once; more are searched block by block.  Rows that are compared at a time.
+QUERY_BLOCK, ROW_BLOCK = 2_000, 2_000
 METRICS = ("hit", "recall", "mrr", "ndcg")
 
 
@@ -23,21 +27,26 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return queries.select("query_id", F.explode(tokens(F.col("question"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times"))
 
 
+def tokenised(corpus: DataFrame) -> DataFrame:
+    """``corpus`` with its text as ``words`` and their number as ``doc_length``, written once for all that reads it."""
+    rows = corpus.withColumn("words", tokens(F.col("text"))).drop("text")
+    return written(rows.withColumn("doc_length", F.size("words")), "retrieval_words")
+
+
 def postings(corpus: DataFrame, terms: DataFrame) -> DataFrame:
-    """arm, doc, doc_length, term and its frequency, for the wanted ``terms(term)`` only.
+    """arm, doc, doc_length, term and its frequency, for the wanted ``terms(term)`` only; ``corpus`` is ``tokenised``.
 
     Other words are dropped before anything is shuffled, and a document's words are counted where they are.
     """
     wanted = terms.select("term").distinct()
     small = wanted.count() <= MOST_TERMS
-    rows = corpus.select("arm", "doc", tokens(F.col("text")).alias("_t"))
-    words = rows.select("arm", "doc", F.size("_t").alias("doc_length"), F.explode("_t").alias("term"))
+    words = corpus.select("arm", "doc", "doc_length", F.explode("words").alias("term"))
     return words.join(F.broadcast(wanted) if small else wanted, "term", "left_semi").groupBy("arm", "doc", "doc_length", "term").agg(F.count("*").alias("tf"))
 
 
 def corpus_statistics(corpus: DataFrame) -> DataFrame:
-    """Documents and their mean length for each arm."""
-    return corpus.groupBy("arm").agg(F.count("*").alias("n_docs"), F.avg(F.size(tokens(F.col("text")))).alias("mean_length"))
+    """Documents and their mean length for each arm of a ``tokenised`` corpus."""
+    return corpus.groupBy("arm").agg(F.count("*").alias("n_docs"), F.avg("doc_length").alias("mean_length"))
 
 
 def idf(found: DataFrame, statistics: DataFrame) -> DataFrame:
@@ -50,17 +59,21 @@ def idf(found: DataFrame, statistics: DataFrame) -> DataFrame:
 def bm25(corpus: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """The best ``k`` documents of each query and arm: arm, query_id, rank, doc and score (six decimals).
 
-    ``corpus(arm, doc, text)``; a term that a query repeats counts that often; documents without a term of the query are
-    not found; equal scores are ordered by doc.
+    ``corpus(arm, doc, text)``, or what ``tokenised`` has made of it; a term that a query repeats counts that often; documents without a
+    term of the query are not found; equal scores are ordered by doc.  A document's postings are dealt to one task, so that
+    its scores are added up there and each task gives ``k`` documents for each query and arm at most.
     """
-    asked = query_terms(queries)
-    found, statistics = postings(corpus, asked), corpus_statistics(corpus)
-    weights = idf(found, statistics).join(F.broadcast(statistics), "arm")
+    corpus = corpus if "words" in corpus.columns else tokenised(corpus)
+    asked = written(query_terms(queries), "retrieval_asked")
+    found, statistics = written(postings(corpus, asked), "retrieval_postings"), written(corpus_statistics(corpus), "retrieval_statistics")
+    weights = idf(found, statistics).join(F.broadcast(statistics), "arm").join(asked, "term")
+    weights = written(weights.select("arm", "term", "query_id", (F.col("times") * F.col("idf")).alias("weight"), "mean_length"), "retrieval_weights")
     norm = F.when(F.col("mean_length") > 0, 1 - B + B * F.col("doc_length") / F.col("mean_length")).otherwise(1.0)
-    score = F.col("times") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * norm)
-    rows = found.join(weights, ["arm", "term"]).join(asked, "term")
-    scores = rows.groupBy("arm", "query_id", "doc").agg(F.round(F.sum(score), 6).alias("score"))
-    return _best(scores, ["arm", "query_id"], "doc", k)
+    score = F.col("weight") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * norm)
+    small = weights.count() <= MOST_TERMS
+    rows = found.repartition("arm", "doc").join(F.broadcast(weights) if small else weights, ["arm", "term"])
+    scores = rows.groupBy("arm", "doc", "query_id").agg(F.round(F.sum(score), 6).alias("score"))
+    return _best(scores, ["arm", "query_id"], "doc", k).select("arm", "query_id", "doc", "score", "rank")
 
 
 def _best(scores: DataFrame, by: list[str], tie: str, k: int) -> DataFrame:
@@ -68,42 +81,55 @@ def _best(scores: DataFrame, by: list[str], tie: str, k: int) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def dense_search(vectors: DataFrame, queries: DataFrame, k: int = 5, where: Column | None = None, digits: int = 6) -> DataFrame:
+def dense_search(vectors: DataFrame, queries: DataFrame, k: int = 5, where: Column | None = None, digits: int = 6, width: int | None = None) -> DataFrame:
     """The ``k`` vectors most like each query by cosine: query_id, rank, vec_id and score (rounded first).
 
-    ``vectors(vec_id, embedding)`` pass the filter first; ``queries(query_id, embedding)`` are few and sent to every task,
-    which compares them with its vectors block by block and keeps ``k`` for each query.  Vectors (and queries) of zeros, null
-    ones and those of another length than the first query are not found.
+    ``vectors(vec_id, embedding)`` pass the filter first.  ``queries(query_id, embedding)`` are sent to every task, in blocks of
+    ``QUERY_BLOCK`` if they are more, and each task keeps ``k`` vectors for each query.  ``width`` is the vectors' length (the
+    most frequent one among the queries unless given; of equally frequent ones the smaller): vectors and queries of another,
+    null ones and those of zeros are not found.
     """
     ship_package(vectors.sparkSession)
-    asked = queries.where("embedding is not null").select("query_id", F.col("embedding").cast("array<double>").alias("embedding")).limit(MOST_QUERIES + 1).collect()
-    if len(asked) > MOST_QUERIES:
-        raise ValueError("too many queries to be sent to every task")
-    width = len(asked[0]["embedding"]) if asked else 0
-    asked = [r for r in asked if len(r["embedding"]) == width and any(r["embedding"])]
+    asked = queries.where("embedding is not null").select("query_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    if width is None:
+        most = asked.groupBy(F.size("embedding").alias("width")).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "width").first()
+        width = most["width"] if most else 0
+    asked = asked.where((F.size("embedding") == width) & F.exists("embedding", lambda x: x != 0))
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    rows = (vectors if where is None else vectors.where(where)).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    rows = rows.where((F.size("embedding") == width) & ~F.exists("embedding", lambda x: x.isNull()))
+    found = []
+    for block in range(blocks):
+        mine = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
+        found.append(_searched(rows, mine.collect(), width, k, digits))
+    return _best(reduce(DataFrame.unionByName, found), ["query_id"], "vec_id", k)
+
+
+def _searched(rows: DataFrame, asked: list, width: int, k: int, digits: int) -> DataFrame:
+    """The best of every task for one block of queries."""
     matrix = np.array([r["embedding"] for r in asked], dtype=float).reshape(len(asked), width)
     ids = np.array([r["query_id"] for r in asked], dtype=np.int64)
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    matrix = matrix / np.where(norms > 0, norms, 1)
-    rows = (vectors if where is None else vectors.where(where)).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    rows = rows.where(F.size("embedding") == width)
+    matrix = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), np.finfo(float).tiny)
+
+    def best_of(at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        scores = np.round(matrix @ x.T, digits)
+        best = [np.lexsort((at, -row))[:k] for row in scores]
+        which = np.repeat(np.arange(len(ids)), [len(b) for b in best])
+        take = np.concatenate(best)
+        return which, at[take], scores[which, take]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows or not len(ids):
-                continue
-            at = batch.column(0).to_numpy()
-            x = batch.column(1).values.to_numpy(zero_copy_only=False).reshape(-1, width)
-            length = np.linalg.norm(x, axis=1)
-            at, x = at[length > 0], x[length > 0] / length[length > 0, None]
-            scores = np.round(matrix @ x.T, digits)
-            best = [np.lexsort((at, -row))[:k] for row in scores]
-            n = [len(b) for b in best]
-            which = np.repeat(np.arange(len(ids)), n)
-            take = np.concatenate(best) if best else np.zeros(0, dtype=int)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[which]), pa.array(at[take]), pa.array(scores[which, take])], ["query_id", "vec_id", "score"])
-
-    return _best(rows.mapInArrow(search, "query_id long, vec_id long, score double"), ["query_id"], "vec_id", k)
+            for low in range(0, batch.num_rows, ROW_BLOCK):
+                part = batch.slice(low, ROW_BLOCK)
+                x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                length = np.linalg.norm(x, axis=1)
+                at, x = part.column(0).to_numpy()[length > 0], x[length > 0] / length[length > 0, None]
+                if len(ids) and len(at):
+                    which, vec, score = best_of(at, x)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[which]), pa.array(vec), pa.array(score)], ["query_id", "vec_id", "score"])
+
+    return rows.mapInArrow(search, "query_id long, vec_id long, score double")
 
 
 def graded(results: DataFrame, targets: DataFrame) -> DataFrame:
@@ -114,7 +140,7 @@ def graded(results: DataFrame, targets: DataFrame) -> DataFrame:
     t = targets.select("query_id", "source_id", "section_key").distinct().withColumn("relevant", F.lit(True)).alias("t")
     r = results.alias("r")
     same = (F.col("r.query_id") == F.col("t.query_id")) & F.col("r.source_id").eqNullSafe(F.col("t.source_id")) & F.col("r.section_key").eqNullSafe(F.col("t.section_key"))
-    rows = r.join(F.broadcast(t), same, "left").select("r.*", F.coalesce("t.relevant", F.lit(False)).alias("relevant"))
+    rows = r.join(F.broadcast(t) if t.count() <= MOST_TARGETS else t, same, "left").select("r.*", F.coalesce("t.relevant", F.lit(False)).alias("relevant"))
     place = Window.partitionBy("arm", "query_id", "source_id", "section_key").orderBy("rank")
     return rows.withColumn("first", F.col("relevant") & (F.row_number().over(place) == 1))
 

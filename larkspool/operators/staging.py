@@ -89,7 +89,7 @@ def routine_uses(notices: DataFrame, repeat_subitems: bool = True) -> DataFrame:
     )
 
 
-def inferred_schema(documents: DataFrame, column: str = "metadata") -> str:
-    """Schema of one stored JSON document, for exploration."""
-    row = documents.where(~is_unparsed(F.col(column))).select(F.schema_of_variant(F.parse_json(column)).alias("s")).first()
-    return row["s"] if row else "VOID"
+def inferred_schemas(documents: DataFrame, column: str = "metadata") -> DataFrame:
+    """schema and n: the schemas of the stored JSON documents and how many rows have each; rows that are none are left out."""
+    known = documents.where(~is_unparsed(F.col(column))).select(F.schema_of_variant(F.try_parse_json(column)).alias("schema"))
+    return known.groupBy("schema").agg(F.count("*").alias("n"))

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from ..session import ship_package
 from .staging import BRONZE_KEY, DOC_TYPES
 
 
@@ -103,9 +106,9 @@ def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return joined.select(F.explode(changes).alias("c")).select("c.change_type", "c.r.*")
 
 
-def freshness(rows: DataFrame, now: str, column: str = "ingested_at", warn_days: int = 7, error_days: int = 30) -> DataFrame:
-    """latest time, its age in days at ``now`` and status pass, warn or error (error without rows)."""
-    latest = rows.agg(F.max(column).alias("latest"))
+def freshness(rows: DataFrame, now: str, column: str = "ingested_at", warn_days: int = 7, error_days: int = 30, by: Sequence[str] = ()) -> DataFrame:
+    """latest time, its age in days at ``now`` and status pass, warn or error (error without a time), for each ``by``."""
+    latest = (rows.groupBy(*by) if by else rows.groupBy()).agg(F.max(column).alias("latest"))
     age = (F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp(F.col("latest").cast("timestamp"))) / 86400
     return latest.withColumn("age_days", F.round(age, 6)).withColumn("status", F.when(F.col("age_days") <= warn_days, "pass").when(F.col("age_days") <= error_days, "warn").otherwise("error"))
 
@@ -119,23 +122,36 @@ def row_bytes(columns: Sequence[str]) -> Column:
 
 
 def plan_batches(rows: DataFrame, order: Sequence[str], size: Column, group: Sequence[str] = (), budget: int = 800_000, most: int = 40) -> DataFrame:
-    """``batch`` (from 0 in each group) of every row: batches are filled in order up to ``budget`` bytes and ``most`` rows.
+    """``row_bytes`` and ``batch`` (from 0 in each group) of every row: batches are filled in order up to ``budget`` bytes and
+    ``most`` rows.
 
-    A row over the budget has a batch of its own.  The fold is sequential in its nature, so the rows of one group (a load,
-    a partition, a day) are folded in one task; groups are independent.
+    A row over the budget has a batch of its own.  The fill is sequential in its nature: the rows of one group (a load, a
+    partition, a day) pass through one task in order, which holds no more than a batch of Arrow rows and a running sum.
+    Null sizes count as 0.
     """
-    columns = rows.columns
-    listed = rows.select(*group, F.struct(*(F.col(o).alias(f"_o{i}") for i, o in enumerate(order)), size.cast("long").alias("_size"), F.struct(*columns).alias("_r")).alias("_x"))
-    listed = (listed.groupBy(*group) if group else listed.groupBy()).agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
-    start = F.struct(F.array().cast("array<int>").alias("b"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("bytes"), F.lit(0).alias("now"))
-
-    def put(a, x):
-        new = (a["n"] > 0) & ((a["bytes"] + x["_size"] > budget) | (a["n"] >= most))
-        at = F.when(new, a["now"] + 1).otherwise(a["now"])
-        return F.struct(F.array_append(a["b"], at).alias("b"), F.when(new, 1).otherwise(a["n"] + 1).alias("n"), F.when(new, x["_size"]).otherwise(a["bytes"] + x["_size"]).alias("bytes"), at.alias("now"))
-
-    folded = listed.select(F.explode(F.arrays_zip(F.col("_xs").alias("x"), F.aggregate("_xs", start, put, lambda a: a["b"]).alias("b"))).alias("z"))
-    return folded.select("z.x._r.*", F.col("z.x._size").alias("row_bytes"), F.col("z.b").alias("batch"))
+    ship_package(rows.sparkSession)
+    columns, places = rows.columns, [rows.columns.index(g) for g in group]
+    sized = rows.withColumn("row_bytes", F.coalesce(size.cast("long"), F.lit(0)))
+    sized = sized.repartition(*(F.col(g) for g in group)) if group else sized.repartition(1)
+    sized = sized.sortWithinPartitions(*group, *order)
+    schema = StructType([*sized.schema.fields, StructField("batch", IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, n, number = None, 0, 0, 0
+        for part in batches:
+            keys = list(zip(*(part.column(i).to_pylist() for i in places), strict=True)) if places else [()] * part.num_rows
+            out = []
+            for key, weight in zip(keys, part.column(len(columns)).to_pylist(), strict=True):
+                if key != now:
+                    now, held, n, number = key, 0, 0, 0
+                elif held + weight > budget or n >= most:
+                    held, n, number = 0, 0, number + 1
+                held += weight
+                n += 1
+                out.append(number)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.int32())], [*part.schema.names, "batch"])
+
+    return sized.mapInArrow(run, schema)
 
 
 def checked_payloads(rows: DataFrame, required: Sequence[str] = ("doc_type", "source_id", "raw_text")) -> DataFrame:
@@ -158,7 +174,8 @@ def bronze_rows(payloads: DataFrame, ingested_at: str) -> DataFrame:
 class SnapshotTable:
     """A table as versioned Parquet snapshots under one folder; readers see the last version that was finished.
 
-    Stands in for a transactional table format: a merge writes a new snapshot, then the pointer to it.
+    Stands in for a transactional table format: a merge writes a new snapshot once, then the pointer to it.  Snapshots hold
+    what the merge did with each row too (``_action``), which readers do not see.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = BRONZE_KEY):
@@ -180,12 +197,15 @@ class SnapshotTable:
         known = dict(self.versions())
         if not known:
             return None
-        return self.spark.read.parquet(f"{self.path}/{known[max(known) if version is None else version]}")
+        return self.spark.read.parquet(f"{self.path}/{known[max(known) if version is None else version]}").drop("_action")
 
     def write(self, rows: DataFrame) -> int:
         version = max((v for v, _ in self.versions()), default=-1) + 1
         folder = f"v{version}-{uuid.uuid4().hex}"
         rows.write.parquet(f"{self.path}/{folder}")
+        return self._publish(version, folder)
+
+    def _publish(self, version: int, folder: str) -> int:
         self.spark.createDataFrame([(version, folder)], "version long, folder string").coalesce(1).write.mode("append").json(f"{self.path}/versions")
         return version
 
@@ -194,11 +214,12 @@ class SnapshotTable:
         target = self.read()
         if target is None:
             target = self.spark.createDataFrame([], source.schema)
-        actions = merge_actions(target, source, self.keys, update)
-        version = self.write(actions)
-        done = self.spark.read.parquet(f"{self.path}/{dict(self.versions())[version]}")
+        version = max((v for v, _ in self.versions()), default=-1) + 1
+        folder = f"v{version}-{uuid.uuid4().hex}"
+        merge_actions(target, source, self.keys, update).withColumnRenamed("action", "_action").write.parquet(f"{self.path}/{folder}")
+        done = self.spark.read.parquet(f"{self.path}/{folder}").withColumnRenamed("_action", "action")
         receipt = merge_receipt(done).first().asDict()
-        self.write(done.drop("action"))
+        self._publish(version, folder)
         return receipt
 
     def changes(self, old: int, new: int, key: str) -> DataFrame:

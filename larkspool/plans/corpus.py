@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions.text import Limits
 from ..operators import gold, staging
+from ..scratch import written
 
 #: Second 0 of the load; a document is one second later for each doc_id.
 LOADED = 1_704_067_200
 #: Baselines that a language stands for; the others have none.
 BASELINES_OF = {"en": ["low", "moderate", "high"], "de": ["moderate", "high"], "fr": ["high"]}
 
+#: Metadata of every hundredth control, which can't be read.
+BROKEN = '{"title": "cut off'
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,13 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _bronze(rows: DataFrame, doc_type: str, source_id: Column, text: Column, metadata: Column, number: Column) -> DataFrame:
     return rows.select(
         F.concat(F.lit(doc_type + ":"), source_id).alias("ingestion_id"), F.lit(doc_type).alias("doc_type"), source_id.alias("source_id"), text.alias("raw_text"),
-        F.to_json(metadata).alias("metadata"), F.timestamp_seconds(F.lit(LOADED) + number).alias("ingested_at"),
+        metadata.alias("metadata"), F.timestamp_seconds(F.lit(LOADED) + number).alias("ingested_at"),
     )
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as notices (one long section and a short one that is not indexed) and as controls; conversations as
-    notices with routine uses (a turn each; what others answer has a sub-item)."""
+    notices with routine uses (a turn each; what others answer has a sub-item;
+    every fifth conversation declares one more than it has, and every hundredth control can't be read)."""
     docs, turns = table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations")
     key = F.col("doc_id").cast("string")
 
@@ -46,18 +51,18 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     subitems = F.when(F.col("role") != "user", F.array(F.struct(F.col("role").alias("label"), F.col("text").alias("text"))))
     use = F.struct(F.col("turn").cast("string").alias("label"), F.col("text").alias("text"), F.length("text").alias("char_count"), subitems.alias("subitems"))
     talks = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", use.alias("use")))).alias("uses")).withColumn("uses", F.transform("uses", lambda x: x["use"]))
-    talk = F.struct(F.concat(F.lit("talk "), F.col("conv_id").cast("string")).alias("title"), F.size("uses").alias("routine_use_count"), F.col("uses").alias("routine_uses"))
+    talk = F.struct(F.concat(F.lit("talk "), F.col("conv_id").cast("string")).alias("title"), (F.size("uses") + F.when(F.col("conv_id") % 5 == 0, 1).otherwise(0)).alias("routine_use_count"), F.col("uses").alias("routine_uses"))
     return (
-        _bronze(docs, "sorn", key, F.col("text"), notice, F.col("doc_id"))
-        .unionByName(_bronze(docs, "nist_control", key, F.col("text"), control, F.col("doc_id")))
-        .unionByName(_bronze(talks, "sorn", F.concat(F.lit("t"), F.col("conv_id").cast("string")), F.array_join("uses.text", "\n"), talk, F.col("conv_id")))
+        _bronze(docs, "sorn", key, F.col("text"), F.to_json(notice), F.col("doc_id"))
+        .unionByName(_bronze(docs, "nist_control", key, F.col("text"), F.when(F.col("doc_id") % 100 == 99, BROKEN).otherwise(F.to_json(control)), F.col("doc_id")))
+        .unionByName(_bronze(talks, "sorn", F.concat(F.lit("t"), F.col("conv_id").cast("string")), F.array_join("uses.text", "\n"), F.to_json(talk), F.col("conv_id")))
     )
 
 
 def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """bronze, notices, controls, sections and uses."""
+    """bronze, notices, controls, sections and uses; the staged rows are written once for the branches that read them."""
     stored = bronze(spark, sf_dir)
-    notices, controls = staging.stage_notices(stored), staging.stage_controls(stored)
+    notices, controls = written(staging.stage_notices(stored), "staged_notices"), written(staging.stage_controls(stored), "staged_controls")
     return {"bronze": stored, "notices": notices, "controls": controls, "sections": staging.sections(notices), "uses": staging.routine_uses(notices)}
 
 
@@ -88,7 +93,7 @@ _TITLE = "'doc ' || doc_id || ' (' || coalesce(source, 'Unknown agency') || ')'"
 CHUNKS_SQL = f"""
 docs AS (SELECT CAST(doc_id AS VARCHAR) AS id, *, {_TITLE} || chr(10) || chr(10) || 'Purpose' || chr(10) || chr(10) || text AS whole FROM documents WHERE length(trim(text, ' ')) > 0),
 sec_src AS (SELECT id AS k, text AS t FROM docs WHERE length(whole) > 2000),
-ctl_src AS (SELECT id AS k, text AS t FROM docs WHERE length(text) > 2000),
+ctl_src AS (SELECT id AS k, text AS t FROM docs WHERE length(text) > 2000 AND doc_id % 100 <> 99),
 turns AS (SELECT 't' || conv_id AS id, CAST(turn AS VARCHAR) AS label, 'talk ' || conv_id AS title, CASE WHEN role <> 'user' THEN text || chr(10) || role || ' ' || text ELSE text END AS full_text, conv_id
   FROM conversations WHERE length(trim(text, ' ')) > 0),
 uses AS (SELECT *, title || ' (Unknown agency)' || chr(10) || chr(10) || 'Routine Use ' || label || chr(10) || chr(10) || full_text AS whole FROM turns),
@@ -114,7 +119,7 @@ chunks AS (
   FROM use_parts JOIN uses ON k = id || '|' || label
   UNION ALL
   SELECT 'nist:' || id, 'nist_control', CASE WHEN lang <> 'en' THEN 'control_enhancement' ELSE 'control' END, 'standard', id, NULL, 'control ' || id, text, id || ' control ' || id, NULL, NULL, source,
-    CASE lang WHEN 'en' THEN ['low', 'moderate', 'high'] WHEN 'de' THEN ['moderate', 'high'] WHEN 'fr' THEN ['high'] END, NULL, doc_id FROM docs WHERE length(text) <= 2000
+    CASE lang WHEN 'en' THEN ['low', 'moderate', 'high'] WHEN 'de' THEN ['moderate', 'high'] WHEN 'fr' THEN ['high'] END, NULL, doc_id FROM docs WHERE length(text) <= 2000 AND doc_id % 100 <> 99
   UNION ALL
   SELECT 'nist:' || id || ':p' || part_no, 'nist_control', CASE WHEN lang <> 'en' THEN 'control_enhancement' ELSE 'control' END, 'standard', id, NULL, 'control ' || id,
     id || ' control ' || id || ' (part ' || (part_no + 1) || ' of ' || total_parts || ')' || chr(10) || chr(10) || part_text, id || ' control ' || id || ' (part ' || (part_no + 1) || ' of ' || total_parts || ')',

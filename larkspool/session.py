@@ -41,10 +41,17 @@ def ship_package(spark: SparkSession) -> None:
     context._larkspool_shipped = True
 
 
+#: Inputs of more bytes than this are never dealt anew: they have files enough, or their reader splits them.
+SPREAD_BYTES = 1 << 30
+
+
 def spread(rows: DataFrame) -> DataFrame:
     """``rows`` dealt to all cores if they come in fewer partitions than there are cores, as one small file does.
 
-    Inputs of a cluster's size have more partitions than that and stay as they are: nothing is shuffled.
+    Large inputs stay as they are, whatever the number of cores: nothing is shuffled.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return rows.repartition(cores) if int(str(size)) <= SPREAD_BYTES else rows

@@ -95,3 +95,8 @@ def create_bronze(spark: SparkSession, database: str, table: str = "raw_document
 
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({BRONZE}) USING parquet")
+
+
+def described(rows: DataFrame) -> DataFrame:
+    """col_name and data_type of a table's columns."""
+    return rows.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in rows.schema], "col_name string, data_type string")

@@ -85,5 +85,6 @@ def test_snapshots_and_streaming(spark, tmp_path):
         spark.createDataFrame([("sorn", "b", "y", None)], kind).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
     assert sorted((r["source_id"], r["raw_text"]) for r in table.read().collect()) == [("a", "two"), ("b", "y")]
     versions = [v for v, _ in table.versions()]
-    changed = table.changes(versions[1], versions[-1], "source_id").collect()
+    assert versions == [0, 1] and "_action" not in table.read().columns  # one snapshot for each merge
+    changed = table.changes(versions[0], versions[-1], "source_id").collect()
     assert {r["change_type"] for r in changed} == {"update_preimage", "update_postimage"}

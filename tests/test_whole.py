@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 def test_routine_uses_and_controls_are_indexed_in_both_arms(spark):
-    found = QUERIES["full_bm25_postings"](spark, SF).select("arm", "doc").distinct().collect()
+    found = QUERIES["bm25_postings"](spark, SF).select("arm", "doc").distinct().collect()
     of = {arm: {r["doc"] for r in found if r["arm"] == arm} for arm in ("whole", "split")}
     uses, controls = ({d for d in of["whole"] if ":ru:" in d}, {d for d in of["whole"] if d.startswith("nist:")})
     assert uses and controls
@@ -27,7 +27,7 @@ def test_the_suite_reports_null_texts_and_repeated_documents(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"file://{tmp_path}/documents.parquet")
     turns = [(1, 0, "user", "A question of some length that is asked here"), (1, 1, "bot", long)]
     spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"file://{tmp_path}/conversations.parquet")
-    got = {r["test"]: (r["failures"], r["status"]) for r in QUERIES["full_dq_suite"](spark, f"file://{tmp_path}").collect()}
+    got = {r["test"]: (r["failures"], r["status"]) for r in QUERIES["dq_suite"](spark, f"file://{tmp_path}").collect()}
     s = staged(spark, f"file://{tmp_path}")
     parts = gold.split_sections(s["sections"]), gold.split_routine_uses(s["uses"]), gold.split_controls(s["controls"])
     suite = quality.chunk_suite(s["bronze"], s["notices"], s["controls"], s["sections"], s["uses"], *parts, chunks(spark, f"file://{tmp_path}"), Limits())
