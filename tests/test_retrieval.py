@@ -52,3 +52,42 @@ def test_dense_search(spark):
     assert [(r["vec_id"], r["score"]) for r in R.dense_search(rows, queries, 3).orderBy("rank").collect()] == [(1, 1.0), (5, 1.0), (2, 0.707107)]
     assert R.dense_search(rows, queries, 3, F.col("vec_id") > 2).orderBy("rank").first()["vec_id"] == 5
     assert R.dense_search(rows, queries.limit(0), 3).count() == 0
+
+
+def test_dense_search_in_blocks(spark, monkeypatch):
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    x = r.normal(size=(300, 8)).round(3)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900, [None] * 8), (901, [1.0])], "vec_id long, embedding array<double>").repartition(5)
+    # the commonest length of the queries counts, whichever comes first
+    queries = spark.createDataFrame([(5000, [1.0, 2.0])] + [(1000 + i, v.tolist()) for i, v in enumerate(x[:23])], "query_id long, embedding array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    scores = np.round(unit[:23] @ unit.T, 6)
+    want = sorted((1000 + i, int(j), k + 1) for i in range(23) for k, j in enumerate(np.lexsort((np.arange(300), -scores[i]))[:4]))
+    for block, batch in ((2000, 2000), (7, 13)):
+        monkeypatch.setattr(R, "QUERY_BLOCK", block)
+        monkeypatch.setattr(R, "ROW_BLOCK", batch)
+        assert sorted((a["query_id"], a["vec_id"], a["rank"]) for a in R.dense_search(rows, queries, 4).collect()) == want
+
+
+@pytest.mark.parametrize("bound", ["MOST_TERMS", "MOST_TARGETS"])
+def test_shuffled_joins_give_the_same(spark, monkeypatch, bound):
+    docs = corpus(spark, [f"w{i % 3} w{i % 5} w{i % 7}" for i in range(40)], ("whole", "split"))
+    queries = spark.createDataFrame([(1, "w0 w1"), (2, "w6 w6 none"), (3, "")], "query_id int, question string")
+    targets = spark.createDataFrame([(1, "d0", "p")], "query_id int, source_id string, section_key string")
+
+    def scores():
+        found = R.bm25(docs, queries).withColumns({"source_id": F.col("doc"), "section_key": F.lit("p")})
+        return sorted(map(tuple, found.collect())), sorted(map(tuple, R.metrics(found, targets, queries.select("query_id")).collect()))
+
+    want = scores()
+    monkeypatch.setattr(R, bound, 0)
+    assert want == scores() and len(want[0]) == 20
+
+
+def test_scores_are_added_up_where_a_document_is(spark):
+    """Between the postings and the best of each task, scores are not shuffled."""
+    docs = corpus(spark, ["a b", "b c", "c d"])
+    plan = R.bm25(docs, spark.createDataFrame([(1, "a b c")], "query_id int, question string"))._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.count("Exchange hashpartitioning(arm") == 2  # by document, then the best by query

@@ -64,6 +64,10 @@ def test_batches(spark):
     assert plan([10, 500, 10]) == [0, 1, 2]
     assert plan([1] * 41) == [0] * 40 + [1]
     assert plan([60, 60, 40, 1]) == [0, 1, 1, 2]
+    assert plan([None, 99, 1, 1]) == [0, 0, 0, 1] and plan([]) == []
+    grouped = spark.createDataFrame([(g, i, 60) for g in ("a", "b", None) for i in range(50)], "g string, i int, n int").repartition(4)
+    got = {(r["g"], r["i"]): r["batch"] for r in upsert.plan_batches(grouped, ["i"], F.col("n"), ["g"], 120, 40).collect()}
+    assert got == {(g, i): i // 2 for g in ("a", "b", None) for i in range(50)}
 
 
 def test_payloads_are_checked(spark):
