@@ -36,10 +36,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def forget_paths(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables that ``written`` returned.  Only for those whose last reader has itself been written: a table that a
     later stage is still to read from, or to read again after the loss of an executor, must stay."""
     for df in tables:
-        spark = df.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._larkspool_path)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        forget_paths(df.sparkSession, df._larkspool_path)
