@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import shared_dir, table, written
+from .scratch import forget_paths, shared_dir, table, written
 
 SPACES = " \t\n\x0b\x0c\r"
 _COLUMNS = "digest binary, n_points bigint, doc_id bigint"
@@ -61,9 +61,11 @@ class DigestIndex:
             return None
         return int(json.loads(self.spark.read.text(f"{self.path}.manifest").first()[0])["buckets"])
 
-    def close(self) -> None:
-        """Take the index out of this session's catalogue; its files stay."""
+    def close(self, delete: bool = False) -> None:
+        """Take the index out of this session's catalogue; its files stay, unless they are to be deleted."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        if delete:
+            forget_paths(self.spark, self.path, f"{self.path}.manifest")
 
     def table(self) -> DataFrame:
         """Rows (digest, n_points, doc_id) of the index."""
@@ -104,14 +106,14 @@ class DigestIndex:
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """Verdict for every row of ``docs(doc_id, text, ...)``; texts are equal without ASCII white space.
 
-    Without ``index`` a new and empty one is used; the steps are the same.  Null and empty texts are one group; texts of
+    Without ``index`` a new and empty one is used, and deleted in the end; the steps are the same.  Null and empty texts are one group; texts of
     any length are hashed whole; ties fall to the smallest doc_id, rows without one behind all others; an empty table gives
     no rows; other columns, whatever their names, are not looked at.
     """
     own = index or DigestIndex(docs.sparkSession)
     out = own.add(docs)
     if index is None:
-        own.close()
+        own.close(delete=True)  # what was asked has been written
     return out
 
 

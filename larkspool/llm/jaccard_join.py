@@ -176,6 +176,7 @@ def _kept(members: DataFrame) -> DataFrame:
     )
     left = ranked.select("sig", F.explode(F.expr("slice(entries, bound, size(entries))")).alias("entry")).select("entry.key", "sig")
     left = written(left, "jaccard_left")
+    forget(sizes)
     sizes = written(left.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "jaccard_sizes")
     out = written(left.join(sizes, "key"), "jaccard_kept")
     forget(left, sizes)
@@ -193,8 +194,8 @@ def links(docs: DataFrame, nodes: DataFrame, how: Jaccard) -> tuple[DataFrame, D
     # the more and the larger the keys of a node, the more of its group it can stand for
     central = written(kept.groupBy("sig").agg(F.sum("c").alias("central")), "jaccard_central")
     carried = ["n_shingles", *(f"p{i}" for i in range(PARITIES))]
-    first = nodes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in (*carried, "fine")))
-    of = written(first.join(central, "sig"), "jaccard_nodes")
+    known = nodes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in (*carried, "fine")))
+    of = written(known.join(central, "sig"), "jaccard_nodes")
     small = of.count() <= BROADCAST_NODES
     texts = written(_picked(docs, of.select("doc_id", "sig")), "jaccard_texts")
 
@@ -207,13 +208,14 @@ def links(docs: DataFrame, nodes: DataFrame, how: Jaccard) -> tuple[DataFrame, D
     star = kept.join(pivots, "key").where("sig <> v").select(F.col("sig").alias("u"), "v").distinct()
     star = written(_likely(star, of, how), "jaccard_star")
     found = written(_verified(star, texts, how), "jaccard_links")
-    parts = written(components(found).withColumnRenamed("node", "sig"), "jaccard_parts")
+    linked = components(found)
+    parts = linked.withColumnRenamed("node", "sig")
     forget(central, pivots, star)
 
     small_parts = parts.count() <= BROADCAST_NODES
     rest = kept.join(F.broadcast(parts) if small_parts else parts, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     open_keys = written(rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key"), "jaccard_open")
-    rest = written(rest.join(open_keys, "key"), "jaccard_rest")
+    rest = unlisted = written(rest.join(open_keys, "key"), "jaccard_rest")
     # the most frequent open keys of each node, in an order that is the same for all: two nodes that have one of them in
     # common meet under the first such key only
     top = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("c")).alias("c"), "key"))), 1, LISTED)
@@ -225,8 +227,8 @@ def links(docs: DataFrame, nodes: DataFrame, how: Jaccard) -> tuple[DataFrame, D
     more = rest.alias("a").join(rest.alias("b"), apart & _may_link(how, "a", "b", _coarse("a", "b")) & once)
     more = written(more.select(F.col("a.sig").alias("u"), F.col("b.sig").alias("v")).distinct(), "jaccard_more")
     likely = written(_likely(more, of, how), "jaccard_likely")
-    found = written(found.unionByName(_verified(likely, texts, how)), "jaccard_links")
-    forget(kept, of, texts, parts, open_keys, listed, rest, more, likely)
+    first, found = found, written(found.unionByName(_verified(likely, texts, how)), "jaccard_links")
+    forget(kept, of, texts, linked, open_keys, unlisted, listed, rest, more, likely, first)
     return found, components(found)
 
 
@@ -235,15 +237,17 @@ def jaccard_groups(docs: DataFrame, how: Jaccard = Jaccard()) -> DataFrame:
 
     Words are separated by ASCII white space and compared with A-Z lowered.  A text of fewer words than a shingle is one
     shingle; null, empty and blank texts have none and are their own component.  Repeated rows give repeated rows.  Sets
-    are compared by 64-bit digests of their shingles.  Other columns are not looked at.
+    are compared by 64-bit digests of their shingles; long texts are read whole.  An empty table gives no rows.  Other columns
+    are not looked at.
     """
     nodes = written(node_rows(docs, how), "jaccard_sets")
-    _, parts = links(docs, nodes, how)
+    found, parts = links(docs, nodes, how)
     least = nodes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     named = least.join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     named = written(named, "jaccard_named")
     ids = written(named.groupBy("component").agg(F.min("least").alias("component_id")), "jaccard_ids")  # large groups can then be split
     of_sig = written(named.join(ids, "component").select("sig", "component_id"), "jaccard_components")
+    forget(found, parts, named, ids)
     return nodes.join(of_sig, "sig", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..scratch import forget, shared_dir, table_path, written
+from ..scratch import forget, forget_paths, shared_dir, table_path, written
 from ..session import ship_package, spread
 
-__all__ = ["forget", "prepare", "shared_dir", "table", "table_path", "written"]
+__all__ = ["forget", "forget_paths", "prepare", "shared_dir", "table", "table_path", "written"]
 #: Rows of an Arrow batch unless the session says otherwise: whole texts are long rows, and a batch is held on both sides.
 BATCH_ROWS = 2000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .scratch import table, written
+from .scratch import forget, table, written
 
 U64 = np.uint64
 WINDOW, GRAM = 50, 8
@@ -162,6 +162,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     starts = starts.groupBy("doc_id", F.shiftright("place", 32).alias("tag")).agg(F.collect_set(F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))).alias("starts"))
     starts = written(starts, "windows_starts")
     cut = written(_cut(_picked(texts, starts), window).distinct(), "windows_cut")
+    forget(several, marks, known, starts)
     sheet = sheet.withColumn("tag", F.shiftright("d1", 32)).drop("anchors")
     copy = (F.col("doc_id") > F.col("first_id")) & (F.col("n_words") >= window)
     return sheet.join(cut, ["doc_id", "tag"], "left").select(
