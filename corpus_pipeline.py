@@ -16,7 +16,7 @@ from larkspool.llm.byte_bpe import encode_table
 from larkspool.llm.decontaminate import contaminated
 from larkspool.llm.exact_dedup import exact_dedup
 from larkspool.llm.jaccard_join import Jaccard, jaccard_groups
-from larkspool.llm.scratch import prepare, table, written
+from larkspool.llm.scratch import forget, prepare, table, written
 from larkspool.llm.toxicity import fit_field, without_toxic
 
 #: A list of ids up to this many (8 bytes each) is broadcast; a longer one is joined by shuffling.
@@ -84,7 +84,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        forget(*before)  # what this stage has read
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
