@@ -6,6 +6,7 @@ import io
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +35,8 @@ def docx_lines(data: bytes) -> list[str]:
     return lines + ["".join(line)] * bool(line)
 
 
-def read_docx(spark: SparkSession, folder: str, pattern: str = "*.docx") -> DataFrame:
-    """file and lines of every document in a folder; a file that is no .docx has no lines."""
+def read_docx(spark: SparkSession, folder: str, pattern: str = "*.docx", ordered: bool = False) -> DataFrame:
+    """file and lines of every document in a folder, by file name if ``ordered``; a file that is no .docx has no lines."""
     ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
 
@@ -49,7 +50,8 @@ def read_docx(spark: SparkSession, folder: str, pattern: str = "*.docx") -> Data
                     found.append([])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], ["file", "lines"])
 
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").mapInArrow(run, "file string, lines array<string>")
+    rows = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").mapInArrow(run, "file string, lines array<string>")
+    return rows.orderBy("file") if ordered else rows
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -84,6 +86,12 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return catalog_groups(spark.read.text(path, wholetext=True))
 
 
+def read_profiles(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """baseline, place and value (the profile as JSON) of profile files by the baselines' names, in their order."""
+    files = [spark.read.text(path, wholetext=True).select(F.lit(name).alias("baseline"), F.lit(place).alias("place"), "value") for place, (name, path) in enumerate(paths.items())]
+    return reduce(DataFrame.unionByName, files)
+
+
 def write_table(rows: DataFrame, path: str) -> None:
     """Full rebuild of a table."""
     rows.write.mode("overwrite").parquet(path)
