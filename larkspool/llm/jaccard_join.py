@@ -25,14 +25,14 @@ from .scratch import forget, table, written
 
 U64 = np.uint64
 #: Longs of parity cells for each set: those that joins carry, and those that pairs are tested by before their texts.
-PARITIES, FINE = 4, 32
+PARITIES, FINE = 8, 32
 #: A list of node ids up to this many (8 bytes each) is broadcast to pick texts; a longer one is joined by shuffling.
 BROADCAST_IDS = 500_000
 #: Frequent keys of a node that joins carry, so that most pairs are given under one of their keys only.
-LISTED = 12
+LISTED = 16
 #: Bits of the filter that is sent to every task, as a power of two: 8 MB whatever the number of keys.
 FILTER_BITS = 26
-#: A table of nodes with their sizes and parities up to this many (60 bytes each) is broadcast; a longer one is shuffled.
+#: A table of nodes with their sizes and parities up to this many (100 bytes each) is broadcast; a longer one is shuffled.
 BROADCAST_NODES = 250_000
 
 
