@@ -78,22 +78,24 @@ def context_sums(docs: DataFrame) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = texts.mapInArrow(run, "row long, n double, " + ", ".join(f"{x} float" for x in names[2:]))
-    return parts.groupBy("row").agg(*(F.sum(x).alias(x) for x in names[1:]))
+    return parts.groupBy("row").agg(F.sum("n").alias("n"), *(F.sum(x).cast("float").alias(x) for x in names[2:]))
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Unit vectors of all rows, weighted down where a row is frequent; the size is fixed whatever the corpus (25 MB)."""
     rows = context_sums(docs).toArrow()
-    vectors, n = np.zeros((ROWS + SHAPES, DIMENSIONS)), np.zeros(ROWS + SHAPES)
+    vectors, n = np.zeros((ROWS + SHAPES, DIMENSIONS), dtype=np.float32), np.zeros(ROWS + SHAPES)
     at = rows.column("row").to_numpy()
     n[at] = rows.column("n").to_numpy()
-    vectors[at] = np.stack([rows.column(f"v{i}").to_numpy() for i in range(DIMENSIONS)], axis=1)
+    for i in range(DIMENSIONS):
+        vectors[at, i] = rows.column(f"v{i}").to_numpy()
     where, sign = index_vectors()
     for k in range(NONZERO):  # a row also stands for itself
-        vectors[np.arange(len(vectors)), where[:, k]] += sign[:, k] * np.maximum(n, 1)
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+        vectors[np.arange(len(vectors)), where[:, k]] += sign[:, k] * np.maximum(n, 1).astype(np.float32)
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), np.float32(1e-9))
     share = n / max(1.0, n.sum() / 2)
-    return (vectors * (1e-2 / (1e-2 + share))[:, None]).astype(np.float32)
+    vectors *= (1e-2 / (1e-2 + share))[:, None].astype(np.float32)
+    return vectors
 
 
 def pooled(part: pa.RecordBatch, vectors: np.ndarray) -> np.ndarray:
