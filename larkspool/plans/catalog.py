@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import gold, quality, retrieval, staging, upsert
 from ..operators.split import split_parts
-from ..scratch import written
+from ..scratch import forget, written
 from ..session import spread
 from .corpus import CHUNKS_SQL, LOADED, chunks, parts_sql, staged, table
 
@@ -458,7 +458,9 @@ def _corpus(spark, sf_dir) -> DataFrame:
     """The chunks of both arms as words; routine uses and controls compete in both."""
     made = written(chunks(spark, sf_dir), "retrieval_chunks")
     arms = [gold.arm(made, a).select(F.lit(a).alias("arm"), F.col("chunk_id").alias("doc"), F.col("chunk_text").alias("text"), "source_id", "section_key", "chunk_strategy") for a in gold.ARMS]
-    return retrieval.tokenised(spread(arms[0].unionByName(arms[1])))
+    words = retrieval.tokenised(spread(arms[0].unionByName(arms[1])))
+    forget(made)
+    return words
 
 
 def _questions(spark, sf_dir) -> DataFrame:
