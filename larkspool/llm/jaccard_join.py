@@ -3,15 +3,16 @@
 Sets of word shingles are indexed as ``partition_index`` describes; texts that meet under a key are candidates.  Texts
 with equal sets are one node from the start.  Groups of near copies would give pairs with the square of their size, so
 links are found in two steps: first every node of a key is compared with the key's most central node only, then the
-nodes that are still in different components.  A lower bound of the sets' difference (parities of the elements in fixed
-cells) is tested inside that join, so the rows it gives are few; a finer one is tested on the pairs, and what is left is
-verified on the whole texts.
+nodes that are still in different components.  That join gives a pair under the first key that it shares, and rarely under
+others, and only if a lower bound of the sets' difference (parities of the elements in fixed cells) allows a link; a finer
+one is tested on the pairs, and what is left is verified on the whole texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +25,17 @@ from .components import components
 from .scratch import forget, table, written
 
 U64 = np.uint64
-#: Longs of parity cells for each set: those that joins carry, and those that pairs are tested by before their texts.
+#: Longs of parity cells for each set: those that the join of pairs carries, and those that pairs are tested by before their texts.
 PARITIES, FINE = 8, 32
 #: A list of node ids up to this many (8 bytes each) is broadcast to pick texts; a longer one is joined by shuffling.
 BROADCAST_IDS = 500_000
-#: Frequent keys of a node that joins carry, so that most pairs are given under one of their keys only.
-LISTED = 16
+#: Segments before its own that an entry tells the keys of, so that most pairs are given under one of their keys only.
+BACK = 12
 #: Bits of the filter that is sent to every task, as a power of two: 8 MB whatever the number of keys.
 FILTER_BITS = 26
-#: A table of nodes with their sizes and parities up to this many (100 bytes each) is broadcast; a longer one is shuffled.
+#: Keys up to which what passes the filter is nearly all theirs, and is not joined with them again.
+FILTER_KEYS = 4_000_000
+#: A table of nodes with a number or two of each up to this many (50 bytes each) is broadcast; a longer one is shuffled.
 BROADCAST_NODES = 250_000
 
 
@@ -62,17 +65,16 @@ def _parities(doc: np.ndarray, shingle: np.ndarray, docs: int, longs: int) -> np
 
 
 def node_rows(docs: DataFrame, how: Jaccard) -> DataFrame:
-    """doc_id, size of the set, its digest and its parities (p0.. to be carried by joins, and the finer ones)."""
-    names = ["doc_id", "n_shingles", "sig", *(f"p{i}" for i in range(PARITIES)), "fine"]
+    """doc_id, size of the set, its digest and its finer parities."""
+    names = ["doc_id", "n_shingles", "sig", "fine"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.slices(batch, "text"):
                 doc, shingle = _sets(part, how.size)
                 n, sig = X.signatures(doc, shingle, part.num_rows)
-                bits = _parities(doc, shingle, part.num_rows, PARITIES)
                 fine = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * FINE), pa.array(_parities(doc, shingle, part.num_rows, FINE).ravel()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n.astype(np.int64)), K.signed(sig), *(pa.array(bits[:, i].copy()) for i in range(PARITIES)), fine], names)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n.astype(np.int64)), K.signed(sig), fine], names)
 
     return _texts(docs).mapInArrow(run, ", ".join(f"{x} long" for x in names[:-1]) + ", fine array<long>")
 
@@ -86,16 +88,47 @@ def key_rows(docs: DataFrame, how: Jaccard, filled: np.ndarray | None = None) ->
             for part in K.slices(batch, "text"):
                 doc, shingle = _sets(part, how.size)
                 _, sig = X.signatures(doc, shingle, part.num_rows)
-                at, key, band, bound = X.index_keys(doc, shingle, part.num_rows, how.percent)
+                e = X.index_keys(doc, shingle, part.num_rows, how.percent)
                 if sent.value is None:
-                    yield pa.RecordBatch.from_arrays([K.signed(key), K.signed(sig[at])], ["key", "sig"])
+                    yield pa.RecordBatch.from_arrays([K.signed(e.key), K.signed(sig[e.doc])], ["key", "sig"])
                     continue
-                held = (sent.value[key >> U64(64 - FILTER_BITS + 6)] >> (key >> U64(64 - FILTER_BITS) & U64(63))) & U64(1) == 1
-                yield pa.RecordBatch.from_arrays([K.signed(key[held]), K.signed(sig[at[held]]), pa.array(band[held]), pa.array(bound[held])], ["key", "sig", "band", "bound"])
+                held = _held(sent.value, e.key)
+                yield pa.RecordBatch.from_arrays([K.signed(e.key[held]), K.signed(sig[e.doc[held]]), pa.array(e.band[held]), pa.array(e.bound[held])], ["key", "sig", "band", "bound"])
 
     return _texts(docs).mapInArrow(run, "key long, sig long" + ("" if filled is None else ", band int, bound int"))
 
 
+def _held(filled: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether the filter may hold each key."""
+    return (filled[key >> U64(64 - FILTER_BITS + 6)] >> (key >> U64(64 - FILTER_BITS) & U64(63))) & U64(1) == 1
+
+
+def meeting_rows(nodes: DataFrame, how: Jaccard, filled: np.ndarray) -> DataFrame:
+    """Index entries of nodes(sig, text, component, bands) in those bands, under keys that the filter may hold.
+
+    key, sig, component, size and parities of the set, and q0.. of ``partition_index.earlier_keys``.
+    """
+    sent = nodes.sparkSession.sparkContext.broadcast(filled)
+    names = ["key", "sig", "component", "n_shingles", *(f"p{i}" for i in range(PARITIES)), *(f"q{i}" for i in range(BACK + 1))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in K.slices(batch, "text"):
+                doc, shingle = _sets(part, how.size)
+                e = X.index_keys(doc, shingle, part.num_rows, how.percent)
+                own = [(i, b) for i, bands in enumerate(part.column(3).to_pylist()) for b in bands]
+                wanted = np.array([(i << 20) + b + (1 << 19) for i, b in own], dtype=np.int64)
+                keep = np.flatnonzero(np.isin((e.doc.astype(np.int64) << 20) + e.band + (1 << 19), wanted) & _held(sent.value, e.key))
+                at = e.doc[keep]
+                size = np.bincount(doc, minlength=part.num_rows).astype(np.int64)
+                bits, before = _parities(doc, shingle, part.num_rows, PARITIES), X.earlier_keys(e, BACK)
+                columns = [K.signed(e.key[keep]), part.column(0).take(pa.array(at)), part.column(2).take(pa.array(at)), pa.array(size[at])]
+                columns += [pa.array(bits[at, i]) for i in range(PARITIES)] + [K.signed(before[keep, j].copy()) for j in range(BACK + 1)]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return nodes.select("sig", "text", "component", "bands").mapInArrow(run, ", ".join(f"{x} long" for x in names))
+
+
 def key_filter(keys: DataFrame) -> np.ndarray:
     """A bitmap of fixed size with a bit for each of keys(key), by its first bits; Spark fills it word by word.
 
@@ -164,21 +197,15 @@ def _picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _kept(members: DataFrame) -> DataFrame:
-    """(key, sig, c) of the entries that sets can meet under: c sets have the key, two at least.
+    """(key, sig, band, c) of the entries that sets can meet under: c sets have the key, two at least.
 
-    A set that is similar to another shares ``bound`` keys of a band with it at least, so of its keys there the most
-    frequent ``bound`` - 1 may go (the order is the same for all sets; ``partition_index`` says why no pair is lost).  Sets
-    that only share a few frequent keys by chance, as texts with a line in common do, then share none.
+    A set that is similar to another shares ``bound`` keys of a band with it at least, so one that shares fewer with all
+    others together is similar to none there (as a text that only has some lines in common with others).
     """
-    sizes = written(members.groupBy("key").agg(F.count("*").alias("c")), "jaccard_sizes")
-    ranked = members.join(sizes, "key").groupBy("sig", "band").agg(
-        F.max("bound").alias("bound"), F.sort_array(F.collect_list(F.struct("c", "key")), asc=False).alias("entries")
-    )
-    left = ranked.select("sig", F.explode(F.expr("slice(entries, bound, size(entries))")).alias("entry")).select("entry.key", "sig")
-    left = written(left, "jaccard_left")
-    forget(sizes)
+    able = members.groupBy("sig", "band").agg(F.count("*").alias("n"), F.max("bound").alias("bound")).where("n >= bound").select("sig", "band")
+    left = written(members.select("key", "sig", "band").join(written(able, "jaccard_able"), ["sig", "band"], "left_semi"), "jaccard_left")
     sizes = written(left.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "jaccard_sizes")
-    out = written(left.join(sizes, "key"), "jaccard_kept")
+    out = written(left.join(sizes, "key").select("key", "sig", "band", "c"), "jaccard_kept")
     forget(left, sizes)
     return out
 
@@ -193,8 +220,7 @@ def links(docs: DataFrame, nodes: DataFrame, how: Jaccard) -> tuple[DataFrame, D
     forget(shared, members)
     # the more and the larger the keys of a node, the more of its group it can stand for
     central = written(kept.groupBy("sig").agg(F.sum("c").alias("central")), "jaccard_central")
-    carried = ["n_shingles", *(f"p{i}" for i in range(PARITIES))]
-    known = nodes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in (*carried, "fine")))
+    known = nodes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n_shingles", "fine")))
     of = written(known.join(central, "sig"), "jaccard_nodes")
     small = of.count() <= BROADCAST_NODES
     texts = written(_picked(docs, of.select("doc_id", "sig")), "jaccard_texts")
@@ -215,20 +241,19 @@ def links(docs: DataFrame, nodes: DataFrame, how: Jaccard) -> tuple[DataFrame, D
     small_parts = parts.count() <= BROADCAST_NODES
     rest = kept.join(F.broadcast(parts) if small_parts else parts, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     open_keys = written(rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key"), "jaccard_open")
-    rest = unlisted = written(rest.join(open_keys, "key"), "jaccard_rest")
-    # the most frequent open keys of each node, in an order that is the same for all: two nodes that have one of them in
-    # common meet under the first such key only
-    top = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("c")).alias("c"), "key"))), 1, LISTED)
-    listed = written(rest.groupBy("sig").agg(top.alias("top")).select("sig", F.col("top.key").alias("listed")), "jaccard_listed")
-    rest = with_nodes(rest.join(F.broadcast(listed) if small else listed, "sig"), *carried)
-    rest = written(rest.select("key", "sig", "component", "listed", *carried), "jaccard_rest")
+    held = rest.join(open_keys, "key", "left_semi").groupBy("sig").agg(F.min("component").alias("component"), F.collect_set("band").alias("bands"))
+    held = written(held, "jaccard_held")
+    meet = meeting_rows(texts.join(F.broadcast(held) if small else held, "sig"), how, key_filter(open_keys))
+    if open_keys.count() > FILTER_KEYS:
+        meet = meet.join(open_keys, "key", "left_semi")
+    meet = written(meet, "jaccard_meet")
     apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.sig") < F.col("b.sig")) & (F.col("a.component") != F.col("b.component"))
-    once = F.coalesce(F.get(F.array_intersect("a.listed", "b.listed"), F.lit(0)), F.col("a.key")) == F.col("a.key")
-    more = rest.alias("a").join(rest.alias("b"), apart & _may_link(how, "a", "b", _coarse("a", "b")) & once)
+    met = reduce(Column.__or__, (F.col(f"a.q{j}") == F.col(f"b.q{j}") for j in range(BACK + 1)))
+    more = meet.alias("a").join(meet.alias("b"), apart & ~met & _may_link(how, "a", "b", _coarse("a", "b")))
     more = written(more.select(F.col("a.sig").alias("u"), F.col("b.sig").alias("v")).distinct(), "jaccard_more")
     likely = written(_likely(more, of, how), "jaccard_likely")
     first, found = found, written(found.unionByName(_verified(likely, texts, how)), "jaccard_links")
-    forget(kept, of, texts, linked, open_keys, unlisted, listed, rest, more, likely, first)
+    forget(kept, of, texts, linked, open_keys, held, meet, more, likely, first)
     return found, components(found)
 
 

@@ -17,10 +17,12 @@ Empty segments would be equal in unrelated sets, so they get no key.  What this
 
 Spare segments say more: of the segments that two similar sets of an exact band compare, ``spare`` + 1 at least are equal,
 and no more of them are empty in both than either set has empty ones.  So the two share ``spare`` + 1 - empties keys at least,
-whichever of the two counts its empties.  ``index_keys`` returns this bound with each key; whoever joins the keys may put
-those of a set in one order for all sets and leave out the last bound - 1 (prefix filter): of sets x and y with the bounds
-b and c, let x be the one whose kept keys end first in that order.  If no shared key were among the kept ones of both, all
-shared keys would be among the b - 1 that x leaves out; but they are b at least.
+whichever of the two counts its empties.  ``index_keys`` returns this bound with each key; a set that shares fewer keys of a
+band with all others together is similar to none there.
+
+Similar sets, and sets that nearly are, share many keys.  ``earlier_keys`` says for each key which keys of whole segments the
+set has in the segments before; two sets that share one of those need not be compared under this key, for they meet under
+that one as well, and of all keys that they share the first is never passed over.
 """
 
 from __future__ import annotations
@@ -97,24 +99,57 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, docs: int) -> tuple[np.ndar
     return n, np.where(n > 0, digest, U64(0))
 
 
-def index_keys(doc: np.ndarray, shingle: np.ndarray, docs: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, key, band, bound) of every index entry of the sets; ``doc`` ascending, shingles distinct within a doc.
+#: Kinds of entries: a whole segment, a segment without one element, and others, which are in no segment.
+WHOLE, LESS, OTHER = 0, 1, 2
+
+
+@dataclass(frozen=True)
+class Entries:
+    """Index entries: set, key, band, how many keys of the band a similar set shares at least, kind and segment."""
+
+    doc: np.ndarray
+    key: np.ndarray
+    band: np.ndarray
+    bound: np.ndarray
+    kind: np.ndarray
+    segment: np.ndarray
+
+
+def earlier_keys(e: Entries, back: int) -> np.ndarray:
+    """A row for each entry: the key of its whole segment (unless it is that), and of the ``back`` segments before.
 
-    ``bound``: entries of this doc and band that a similar set has at least (1 if that is all that is known).  A key is in
-    one band only.
+    Where there is none, as of empty segments, stands a number that no other set has there.
     """
+    place = (e.doc.astype(np.int64) << 40) ^ ((e.band.astype(np.int64) & 0xFFF) << 28)
+    whole = np.flatnonzero(e.kind == WHOLE)
+    at = place[whole] + e.segment[whole]
+    order = np.argsort(at)
+    at, key = at[order], e.key[whole][order]
+    out = K.mix(e.key ^ (e.doc.astype(U64) + U64(1)) * U64(0x9E3779B97F4A7C15))[:, None] + np.arange(back + 1, dtype=U64)
+    for j in range(back + 1):
+        wanted = place + e.segment - j
+        there = (e.segment >= j) & (e.kind != OTHER) & ((e.kind == LESS) | (j > 0))
+        if len(at):
+            found = np.minimum(np.searchsorted(at, wanted), len(at) - 1)
+            there &= at[found] == wanted
+            out[there, j] = key[found[there]]
+    return out
+
+
+def index_keys(doc: np.ndarray, shingle: np.ndarray, docs: int, percent: int) -> Entries:
+    """Every index entry of the sets; ``doc`` ascending, shingles distinct within a doc.  A key is in one band only."""
     n = np.bincount(doc, minlength=docs)
     if not len(doc):
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
+        none = np.zeros(0, dtype=np.int64)
+        return Entries(none, none.astype(U64), none, none, none, none)
     table = bands(percent, max(64, 1 << int(n.max() * 100 // percent + 1).bit_length()))
     highs = np.array([b.high for b in table])
     own = np.searchsorted(highs, n)
     following = np.searchsorted(highs, n * 100 // percent)
-    out_doc, out_key, out_band, out_bound = [], [], [], []
+    parts = []
 
-    def give(of, key, band, bound):
-        for out, x in ((out_doc, of), (out_key, key), (out_band, band.astype(np.int32)), (out_bound, bound.astype(np.int32))):
-            out.append(x)
+    def give(of, key, band, bound, kind, segment):
+        parts.append((of, key, band.astype(np.int32), np.broadcast_to(bound, len(of)).astype(np.int32), np.full(len(of), kind, dtype=np.int8), segment.astype(np.int32)))
 
     for which, band_of in ((0, own), (1, following)):
         chosen = (n > 0) & ((band_of > own) if which else True)
@@ -148,20 +183,20 @@ def index_keys(doc: np.ndarray, shingle: np.ndarray, docs: int, percent: int) ->
         salt = _salt(at[owner], number, 2)
         empties = np.bincount(owner[~full], minlength=docs)
         bound = np.where(deletes, 1, np.maximum(1, spare + 1 - empties))
-        give(owner[full], K.mix(content[full] ^ salt[full]), at[owner[full]], bound[owner[full]])
+        give(owner[full], K.mix(content[full] ^ salt[full]), at[owner[full]], bound[owner[full]], WHOLE, number[full])
         thin = np.bincount(owner[size <= 1], minlength=docs)
         near = deletes | (empties > spare)
         take = near[d] & (size[cell] > 1)
-        give(d[take], K.mix((content[cell[take]] - h[take]) ^ salt[cell[take]]), at[d[take]], np.ones(int(take.sum())))
+        give(d[take], K.mix((content[cell[take]] - h[take]) ^ salt[cell[take]]), at[d[take]], 1, LESS, number[cell[take]])
         crowded = np.flatnonzero(chosen & ~deletes & (2 * thin > used_low))
         # a key of its own kind, as a band of its own: it is no part of what the bound counts
-        give(crowded, _salt(at[crowded], np.zeros(len(crowded), dtype=np.int64), 3), -1 - at[crowded], np.ones(len(crowded)))
+        give(crowded, _salt(at[crowded], np.zeros(len(crowded), dtype=np.int64), 3), -1 - at[crowded], 1, OTHER, np.zeros(len(crowded)))
         for x in np.flatnonzero(chosen & deletes & (used > 1) & (thin > 1)):
             cells = np.flatnonzero(size[first[x] : first[x + 1]] <= 1)
             i, j = np.triu_indices(len(cells), 1)
             pair = cells[i] * 4096 + cells[j]
-            give(np.full(len(pair), x), _salt(np.full(len(pair), at[x]), pair, 4), np.full(len(pair), at[x]), np.ones(len(pair)))
-    return tuple(np.concatenate(out) for out in (out_doc, out_key, out_band, out_bound))
+            give(np.full(len(pair), x), _salt(np.full(len(pair), at[x]), pair, 4), np.full(len(pair), at[x]), 1, OTHER, np.zeros(len(pair)))
+    return Entries(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
 
 def shingles(hashes: np.ndarray, w: K.Words, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -187,15 +187,20 @@ def test_similar_sets_always_share_a_key(percent):
             if not len(y) or 100 * both < percent * (len(x) + len(y) - both):
                 continue
             doc = np.concatenate([np.zeros(len(x), dtype=np.int64), np.ones(len(y), dtype=np.int64)])
-            at, key, band, bound = X.index_keys(doc, np.concatenate([x, y]), 2, percent)
-            a, b = (dict(zip(key[at == i].tolist(), zip(band[at == i].tolist(), bound[at == i].tolist()))) for i in (0, 1))
-            common = a.keys() & b.keys()
+            e = X.index_keys(doc, np.concatenate([x, y]), 2, percent)
+            before = X.earlier_keys(e, 5)
+            rows = [{int(k): i for i, k in zip(np.flatnonzero(e.doc == d), e.key[e.doc == d])} for d in (0, 1)]
+            common = rows[0].keys() & rows[1].keys()
             assert common, (n, drop)
-            met = {}
+            met, given = {}, 0
             for k in common:
-                assert a[k][0] == b[k][0]
-                met.setdefault(a[k][0], []).append(max(a[k][1], b[k][1]))
-            assert any(len(bounds) >= max(bounds) for bounds in met.values()), (n, drop)
+                i, j = rows[0][k], rows[1][k]
+                assert e.band[i] == e.band[j]
+                met.setdefault(e.band[i], []).append(max(e.bound[i], e.bound[j]))
+                same = before[i] == before[j]
+                assert set(before[i][same].tolist()) <= common  # who is passed over here meets elsewhere
+                given += not same.any()
+            assert any(len(bounds) >= max(bounds) for bounds in met.values()) and given, (n, drop)
 
 
 def brute_windows(rows, window):
