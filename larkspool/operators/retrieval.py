@@ -28,8 +28,12 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 def tokenised(corpus: DataFrame) -> DataFrame:
-    """``corpus`` with its text as ``words`` and their number as ``doc_length``, written once for all that reads it."""
-    rows = corpus.withColumn("words", tokens(F.col("text"))).drop("text")
+    """``corpus`` with its text as ``words`` and their number as ``doc_length``, written once for all that reads it.
+
+    Documents have an ``arm``, or the ``arms`` that they are in, as those that several arms share are read only once.
+    """
+    arms = F.col("arms") if "arms" in corpus.columns else F.array("arm")
+    rows = corpus.withColumns({"arms": arms, "words": tokens(F.col("text"))}).drop("arm", "text")
     return written(rows.withColumn("doc_length", F.size("words")), "retrieval_words")
 
 
@@ -40,13 +44,14 @@ def postings(corpus: DataFrame, terms: DataFrame) -> DataFrame:
     """
     wanted = terms.select("term").distinct()
     small = wanted.count() <= MOST_TERMS
-    words = corpus.select("arm", "doc", "doc_length", F.explode("words").alias("term"))
-    return words.join(F.broadcast(wanted) if small else wanted, "term", "left_semi").groupBy("arm", "doc", "doc_length", "term").agg(F.count("*").alias("tf"))
+    words = corpus.select("arms", "doc", "doc_length", F.explode("words").alias("term"))
+    counted = words.join(F.broadcast(wanted) if small else wanted, "term", "left_semi").groupBy("arms", "doc", "doc_length", "term").agg(F.count("*").alias("tf"))
+    return counted.select(F.explode("arms").alias("arm"), "doc", "doc_length", "term", "tf")
 
 
 def corpus_statistics(corpus: DataFrame) -> DataFrame:
     """Documents and their mean length for each arm of a ``tokenised`` corpus."""
-    return corpus.groupBy("arm").agg(F.count("*").alias("n_docs"), F.avg("doc_length").alias("mean_length"))
+    return corpus.select(F.explode("arms").alias("arm"), "doc_length").groupBy("arm").agg(F.count("*").alias("n_docs"), F.avg("doc_length").alias("mean_length"))
 
 
 def idf(found: DataFrame, statistics: DataFrame) -> DataFrame:

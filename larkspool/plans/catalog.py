@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import gold, quality, retrieval, staging, upsert
 from ..operators.split import split_parts
-from ..scratch import forget, written
+from ..scratch import written
 from ..session import spread
 from .corpus import CHUNKS_SQL, LOADED, chunks, parts_sql, staged, table
 
@@ -455,12 +455,10 @@ def q_fewer_sections_than_documents(spark, sf_dir):
 
 
 def _corpus(spark, sf_dir) -> DataFrame:
-    """The chunks of both arms as words; routine uses and controls compete in both."""
-    made = written(chunks(spark, sf_dir), "retrieval_chunks")
-    arms = [gold.arm(made, a).select(F.lit(a).alias("arm"), F.col("chunk_id").alias("doc"), F.col("chunk_text").alias("text"), "source_id", "section_key", "chunk_strategy") for a in gold.ARMS]
-    words = retrieval.tokenised(spread(arms[0].unionByName(arms[1])))
-    forget(made)
-    return words
+    """The chunks as words, each once with the arms that it is in; routine uses and controls compete in both."""
+    kind = F.col("chunk_strategy")
+    arms = F.array_compact(F.array(*(F.when(kind != left_out, F.lit(a)) for a, left_out in gold.ARMS.items())))
+    return retrieval.tokenised(spread(chunks(spark, sf_dir)).select(arms.alias("arms"), F.col("chunk_id").alias("doc"), F.col("chunk_text").alias("text"), "source_id", "section_key", "chunk_strategy"))
 
 
 def _questions(spark, sf_dir) -> DataFrame:
@@ -522,7 +520,7 @@ def q_bm25_topk(spark, sf_dir):
 
 def _scores(spark, sf_dir) -> DataFrame:
     corpus, questions, targets = _corpus(spark, sf_dir), _questions(spark, sf_dir), written(_targets(spark, sf_dir), "retrieval_targets")
-    found = written(retrieval.bm25(corpus, questions), "retrieval_results").join(corpus.select("arm", "doc", "source_id", "section_key"), ["arm", "doc"])
+    found = written(retrieval.bm25(corpus, questions), "retrieval_results").join(corpus.select("doc", "source_id", "section_key"), "doc")
     over = corpus.where("chunk_strategy = 'oversized_whole'").select("source_id").distinct()
     contested = targets.join(over, "source_id", "left_semi").select("query_id").distinct().withColumn("c", F.lit("contested"))
     asked = questions.join(contested, "query_id", "left").select("query_id", F.coalesce("c", F.lit("control")).alias("class"))
