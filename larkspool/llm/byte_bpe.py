@@ -12,6 +12,7 @@ import base64
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -24,7 +25,7 @@ from .scratch import table
 
 #: White space by Unicode, written out: the engines' \s differ in the ASCII separators.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Encoded pieces remembered by a worker; the memory is emptied when it is full.
+#: Encoded pieces remembered by a worker, twice as many at most (see ``_Pieces``); neighbours are forgotten when they are more.
 PIECES_KEPT = 250_000
 #: Pieces longer than this are not remembered.
 LONGEST_KEPT = 40
@@ -51,6 +52,24 @@ def latin_pattern(pattern: str) -> str:
     return out
 
 
+class _Pieces(dict):
+    """Ids by piece.  A piece that is not there is encoded; when the memory is full it becomes the old one, from which pieces
+    that come again are taken over."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        got = self.old.get(piece) or self.encode(piece)
+        if len(piece) <= LONGEST_KEPT:
+            if len(self) >= PIECES_KEPT:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = got
+        return got
+
+
 class ByteBPE:
     """Encoder and decoder for a rank file (base64 token and rank on each line)."""
 
@@ -67,7 +86,7 @@ class ByteBPE:
                 self.automaton.add_word(token.decode("latin-1"), (len(token), i))
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces = _Pieces(self._encode_piece)
 
     def _merge(self, data: bytes) -> list[int]:
         """Reference merging of a few bytes: the lowest rank first, leftmost first."""
@@ -113,24 +132,14 @@ class ByteBPE:
                 dead.add((at, out.pop()))
         return out
 
-    def encode_piece(self, piece: str) -> tuple[int, ...]:
-        got = self.pieces.get(piece)
-        if got is None:
-            data = piece.encode()
-            whole = self.ranks.get(data)
-            got = (whole,) if whole is not None else tuple(self._backtrack(data))
-            if len(piece) <= LONGEST_KEPT:
-                if len(self.pieces) >= PIECES_KEPT:
-                    self.pieces.clear()
-                self.pieces[piece] = got
-        return got
+    def _encode_piece(self, piece: str) -> tuple[int, ...]:
+        data = piece.encode()
+        whole = self.ranks.get(data)
+        return (whole,) if whole is not None else tuple(self._backtrack(data))
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        known, encode = self.pieces.get, self.encode_piece
-        for piece in (self.split if self.other(text) else self.split_latin)(text):
-            out += known(piece) or encode(piece)
-        return out
+        pieces = (self.split if self.other(text) else self.split_latin)(text)
+        return list(chain.from_iterable(map(self.pieces.__getitem__, pieces)))
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
