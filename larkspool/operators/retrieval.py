@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions.text import tokens
 from ..scratch import written
 from ..session import ship_package
 
 K1, B = 1.5, 0.75
-#: Terms of all queries together, and targets, up to these many are broadcast; more of them are joined by shuffling.
+#: Terms of all queries together, and targets, up to these many are sent to every task; more of them are joined by shuffling.
 MOST_TERMS, MOST_TARGETS = 500_000, 500_000
 #: Query vectors that are sent to every task at once; more are searched block by block.  Rows that are compared at a time.
 QUERY_BLOCK, ROW_BLOCK = 2_000, 2_000
+#: Rows whose words are counted at a time, and cells of the matrices in which documents are scored.
+COUNT_BLOCK, CELLS = 1_000, 4_000_000
 METRICS = ("hit", "recall", "mrr", "ndcg")
 
 
@@ -56,29 +63,176 @@ def corpus_statistics(corpus: DataFrame) -> DataFrame:
 
 def idf(found: DataFrame, statistics: DataFrame) -> DataFrame:
     """Inverse document frequency of each term in each arm."""
-    df = found.groupBy("arm", "term").agg(F.count("*").alias("df"))
+    return _idf(found.groupBy("arm", "term").agg(F.count("*").alias("df")), statistics)
+
+
+def _idf(df: DataFrame, statistics: DataFrame) -> DataFrame:
     value = F.log(1 + (F.col("n_docs") - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
     return df.join(F.broadcast(statistics), "arm").select("arm", "term", "df", value.alias("idf"))
 
 
+def prepared(corpus: DataFrame, queries: DataFrame) -> DataFrame:
+    """``corpus`` in the form that ``bm25`` reads for these queries, for callers that read its other columns too."""
+    asked = written(query_terms(queries), "retrieval_asked")
+    return counted(corpus, asked) if asked.count() <= MOST_TERMS else tokenised(corpus)
+
+
+def _numbered(asked: DataFrame) -> dict[str, int]:
+    """A number for each term of the queries."""
+    return {term: i for i, term in enumerate(sorted(r["term"] for r in asked.select("term").distinct().collect()))}
+
+
+def counted(corpus: DataFrame, asked: DataFrame) -> DataFrame:
+    """``corpus`` with ``arms`` and, for its text, ``doc_length``, the numbers of the asked terms in it (``term``) and how often it has each (``tf``).
+
+    Written once.  A row stays a row, so no posting is shuffled; ``MOST_TERMS`` bounds the terms that are sent to every task.
+    """
+    ship_package(corpus.sparkSession)
+    arms = F.col("arms") if "arms" in corpus.columns else F.array("arm")
+    text = F.array_join("words", " ") if "words" in corpus.columns else F.lower(F.coalesce("text", F.lit("")))
+    others = [c for c in corpus.columns if c not in ("arm", "arms", "text", "words", "doc_length")]
+    rows = corpus.select(*others, arms.alias("arms"), text.alias("text"))
+    numbers = _numbered(asked)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, number, known = re.compile("[a-z0-9]+").findall, numbers.__getitem__, numbers.keys()
+        for batch in batches:
+            for low in range(0, batch.num_rows, COUNT_BLOCK):
+                part, lengths, ends, term, tf = batch.slice(low, COUNT_BLOCK), [], [0], [], []
+                for text in part.column(part.num_columns - 1).to_pylist():
+                    words = find(text)
+                    times = Counter(words)
+                    here = known & times.keys()
+                    lengths.append(len(words))
+                    term += map(number, here)
+                    tf += map(times.__getitem__, here)
+                    ends.append(len(term))
+                lists = (pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int32())) for x in (term, tf))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(lengths, pa.int32()), *lists], [*part.schema.names[:-1], "doc_length", "term", "tf"])
+
+    schema = StructType([*rows.drop("text").schema.fields, *StructType.fromDDL("doc_length int, term array<int>, tf array<int>").fields])
+    return written(rows.mapInArrow(count, schema), "retrieval_counts")
+
+
 def bm25(corpus: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """The best ``k`` documents of each query and arm: arm, query_id, rank, doc and score (six decimals).
 
-    ``corpus(arm, doc, text)``, or what ``tokenised`` has made of it; a term that a query repeats counts that often; documents without a
-    term of the query are not found; equal scores are ordered by doc.  A document's postings are dealt to one task, so that
-    its scores are added up there and each task gives ``k`` documents for each query and arm at most.
+    ``corpus(arm, doc, text)``, or what ``prepared`` has made of it; a term that a query repeats counts that often; documents without a
+    term of the query are not found; equal scores are ordered by doc; rows that share a doc are one document.  A document is
+    scored for all queries where it is, and each task gives ``k`` documents for each query and arm at most.
     """
-    corpus = corpus if "words" in corpus.columns else tokenised(corpus)
     asked = written(query_terms(queries), "retrieval_asked")
-    found, statistics = written(postings(corpus, asked), "retrieval_postings"), written(corpus_statistics(corpus), "retrieval_statistics")
-    weights = idf(found, statistics).join(F.broadcast(statistics), "arm").join(asked, "term")
-    weights = written(weights.select("arm", "term", "query_id", (F.col("times") * F.col("idf")).alias("weight"), "mean_length"), "retrieval_weights")
+    if asked.count() > MOST_TERMS:
+        corpus = corpus if "words" in corpus.columns else tokenised(corpus)
+        found, statistics = written(postings(corpus, asked), "retrieval_postings"), written(corpus_statistics(corpus), "retrieval_statistics")
+        df = found.groupBy("arm", "term").agg(F.count("*").alias("df"))
+        scores = _joined_scores(found, _weights(df, statistics, asked), False)
+    else:
+        scores = _packed_scores(corpus if "tf" in corpus.columns else counted(corpus, asked), asked, k)
+    return _best(scores, ["arm", "query_id"], "doc", k).select("arm", "query_id", "doc", "score", "rank")
+
+
+def _weights(df: DataFrame, statistics: DataFrame, asked: DataFrame) -> DataFrame:
+    """What a term adds to a query's score in each arm, with the arm's mean length, from the documents that have it."""
+    weights = _idf(df, statistics).join(F.broadcast(statistics), "arm").join(asked, "term")
+    return written(weights.select("arm", "term", "query_id", (F.col("times") * F.col("idf")).alias("weight"), "mean_length"), "retrieval_weights")
+
+
+def _joined_scores(found: DataFrame, weights: DataFrame, small: bool) -> DataFrame:
+    """Scores by a join of postings; a document's postings are dealt to one task, so that its scores are added up there."""
     norm = F.when(F.col("mean_length") > 0, 1 - B + B * F.col("doc_length") / F.col("mean_length")).otherwise(1.0)
     score = F.col("weight") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * norm)
-    small = weights.count() <= MOST_TERMS
     rows = found.repartition("arm", "doc").join(F.broadcast(weights) if small else weights, ["arm", "term"])
-    scores = rows.groupBy("arm", "doc", "query_id").agg(F.round(F.sum(score), 6).alias("score"))
-    return _best(scores, ["arm", "query_id"], "doc", k).select("arm", "query_id", "doc", "score", "rank")
+    return rows.groupBy("arm", "doc", "query_id").agg(F.round(F.sum(score), 6).alias("score"))
+
+
+def _packed_scores(counts: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """Scores of a ``counted`` corpus: those that may be among the ``k`` best, and all of documents that several rows share.
+
+    Shared documents, whose rows are counted and scored together, take the longer way of ``_joined_scores``.  They are told by a hash of
+    doc alone; another document that has the same hash only goes that way too.
+    """
+    ship_package(counts.sparkSession)
+    numbers = _numbered(asked)
+    named = F.broadcast(counts.sparkSession.createDataFrame(list(numbers.items()), "term string, number int"))
+    key, row = F.xxhash64("doc"), ["arms", "doc", "doc_length", "term", "tf"]
+    several = written(counts.groupBy(key.alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key"), "retrieval_several")
+    n = several.count()
+    these = F.broadcast(several) if n <= MOST_TERMS else several
+    keyed = counts.select(key.alias("key"), *row)
+    single = (keyed.join(these, "key", "left_anti") if n else counts).select(*row)
+    shared = keyed.join(these, "key", "left_semi").select(F.explode("arms").alias("arm"), "doc", "doc_length", F.arrays_zip("term", "tf").alias("posts"))
+    shared = shared.select("arm", "doc", "doc_length", F.inline("posts").alias("number", "tf")).groupBy("arm", "doc", "doc_length", "number").agg(F.sum("tf").alias("tf"))
+    shared = written(shared.join(named, "number").drop("number"), "retrieval_shared")
+
+    alone = single.select("arms", F.explode("term").alias("number")).groupBy("arms", "number").agg(F.count("*").alias("n"))
+    alone = alone.select(F.explode("arms").alias("arm"), "number", "n").join(named, "number").drop("number")
+    df = alone.unionByName(shared.groupBy("arm", "term").agg(F.count("*").alias("n"))).groupBy("arm", "term").agg(F.sum("n").alias("df"))
+    statistics = written(corpus_statistics(counts), "retrieval_statistics")
+    weights = _weights(df, statistics, asked)
+    got = weights.collect()
+
+    ids = list({r["query_id"]: None for r in got})
+    place = {q: i for i, q in enumerate(ids)}
+    arms = {}
+    for arm, mean in ((r["arm"], r["mean_length"]) for r in statistics.collect()):
+        mine = sorted((numbers[r["term"]], place[r["query_id"]], r["weight"]) for r in got if r["arm"] == arm)
+        term, query, weight = (np.array([r[i] for r in mine], dtype=kind) for i, kind in enumerate((np.int64, np.int64, float)))
+        arms[arm] = mean, np.searchsorted(term, np.arange(len(numbers) + 1)), query, weight
+    id_type = to_arrow_type(asked.schema["query_id"].dataType)
+    schema = StructType([StructField("arm", StringType()), counts.schema["doc"], asked.schema["query_id"], StructField("score", DoubleType())])
+
+    def scored(part: pa.RecordBatch, cut: dict) -> Iterator[pa.RecordBatch]:
+        """Scores of a few rows.  ``cut``: the ``k`` best of each arm and query so far."""
+        at, doc, length, term, tf = part.columns
+        first, last = term.offsets.to_numpy()[[0, -1]]
+        owner = np.repeat(np.arange(part.num_rows), np.diff(term.offsets.to_numpy()))
+        used, number = np.unique(term.values.to_numpy()[first:last], return_inverse=True)
+        if part.num_rows > 1 and part.num_rows * len(used) > CELLS:
+            half = part.num_rows // 2
+            yield from scored(part.slice(0, half), cut)
+            yield from scored(part.slice(half), cut)
+            return
+        tf, length = tf.values.to_numpy()[slice(*tf.offsets.to_numpy()[[0, -1]])], length.to_numpy()
+        in_arm, arm_of = at.flatten(), pc.list_parent_indices(at).to_numpy()
+        for arm, (mean, starts, query, weight) in arms.items():
+            rows = np.unique(arm_of[pc.equal(in_arm, arm).to_numpy(zero_copy_only=False)])
+            if not len(rows) or not len(used):
+                continue
+            norm = 1 - B + B * length / mean if mean > 0 else np.ones(part.num_rows)
+            x = np.zeros((part.num_rows, len(used)))
+            x[owner, number] = tf * (K1 + 1) / (tf + K1 * norm[owner])
+            x = x[rows] if len(rows) < part.num_rows else x
+            size = starts[used + 1] - starts[used]
+            take = np.repeat(starts[used] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            place, asking, by = np.repeat(np.arange(len(used)), size), query[take], weight[take]
+            step = max(1, CELLS // max(len(used), len(rows)))
+            for low in range(0, len(ids), step):
+                n = min(step, len(ids) - low)
+                w, mine = np.zeros((n, len(used))), (asking >= low) & (asking < low + n)
+                w[asking[mine] - low, place[mine]] = by[mine]
+                score = w @ x.T
+                found = score > 0
+                score = np.floor(score * 1e6 + 0.5) / 1e6
+                best = np.concatenate([cut[arm][low : low + n], score], axis=1)
+                best = cut[arm][low : low + n] = np.partition(best, -k, axis=1)[:, -k:]
+                q, d = np.nonzero(found & (score >= best.min(axis=1, keepdims=True)))
+                value, docs = score[q, d], doc.take(pa.array(rows[d]))
+                if len(q) and np.bincount(q).max() > k:  # equal scores: those of the first documents
+                    names, kept, ends = docs.to_pylist(), [], np.searchsorted(q, np.arange(n + 1))
+                    for a, z in zip(ends[:-1], ends[1:], strict=True):
+                        kept += sorted(range(a, z), key=lambda i: (-value[i], names[i] is not None, names[i]))[:k] if z - a > k else range(a, z)
+                    q, value, docs = q[kept], value[kept], docs.take(pa.array(kept))
+                if len(q):
+                    yield pa.RecordBatch.from_arrays([pa.array([arm] * len(q), pa.string()), docs, pa.array([ids[i + low] for i in q], id_type), pa.array(value)], schema.names)
+
+    def best_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = {arm: np.zeros((len(ids), k)) for arm in arms}
+        for batch in batches:
+            for low in range(0, batch.num_rows, ROW_BLOCK):
+                yield from scored(batch.slice(low, ROW_BLOCK), cut)
+
+    return single.mapInArrow(best_of, schema).unionByName(_joined_scores(shared, weights, True))
 
 
 def _best(scores: DataFrame, by: list[str], tie: str, k: int) -> DataFrame:

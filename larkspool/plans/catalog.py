@@ -454,11 +454,16 @@ def q_fewer_sections_than_documents(spark, sf_dir):
 # --- retrieval: questions are the benchmark's texts, and a target is a document that shares a line with one
 
 
-def _corpus(spark, sf_dir) -> DataFrame:
-    """The chunks as words, each once with the arms that it is in; routine uses and controls compete in both."""
+def _texts(spark, sf_dir) -> DataFrame:
+    """The chunks, each once with the arms that it is in; routine uses and controls compete in both."""
     kind = F.col("chunk_strategy")
     arms = F.array_compact(F.array(*(F.when(kind != left_out, F.lit(a)) for a, left_out in gold.ARMS.items())))
-    return retrieval.tokenised(spread(chunks(spark, sf_dir)).select(arms.alias("arms"), F.col("chunk_id").alias("doc"), F.col("chunk_text").alias("text"), "source_id", "section_key", "chunk_strategy"))
+    return spread(chunks(spark, sf_dir)).select(arms.alias("arms"), F.col("chunk_id").alias("doc"), F.col("chunk_text").alias("text"), "source_id", "section_key", "chunk_strategy")
+
+
+def _corpus(spark, sf_dir) -> DataFrame:
+    """The chunks as words."""
+    return retrieval.tokenised(_texts(spark, sf_dir))
 
 
 def _questions(spark, sf_dir) -> DataFrame:
@@ -515,11 +520,12 @@ def q_bm25_idf(spark, sf_dir):
 @query(f"WITH {_TOP_SQL} SELECT arm, query_id, doc, score, CAST(rank AS INTEGER) AS rank FROM top")
 def q_bm25_topk(spark, sf_dir):
     """The five best chunks of each question and arm."""
-    return retrieval.bm25(_corpus(spark, sf_dir), _questions(spark, sf_dir))
+    return retrieval.bm25(_texts(spark, sf_dir), _questions(spark, sf_dir))
 
 
 def _scores(spark, sf_dir) -> DataFrame:
-    corpus, questions, targets = _corpus(spark, sf_dir), _questions(spark, sf_dir), written(_targets(spark, sf_dir), "retrieval_targets")
+    questions, targets = _questions(spark, sf_dir), written(_targets(spark, sf_dir), "retrieval_targets")
+    corpus = retrieval.prepared(_texts(spark, sf_dir), questions)
     found = written(retrieval.bm25(corpus, questions), "retrieval_results").join(corpus.select("doc", "source_id", "section_key"), "doc")
     over = corpus.where("chunk_strategy = 'oversized_whole'").select("source_id").distinct()
     contested = targets.join(over, "source_id", "left_semi").select("query_id").distinct().withColumn("c", F.lit("contested"))

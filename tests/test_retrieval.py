@@ -91,3 +91,51 @@ def test_scores_are_added_up_where_a_document_is(spark):
     docs = corpus(spark, ["a b", "b c", "c d"])
     plan = R.bm25(docs, spark.createDataFrame([(1, "a b c")], "query_id int, question string"))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and plan.count("Exchange hashpartitioning(arm") == 2  # by document, then the best by query
+
+
+def brute_bm25(rows, questions, k):
+    """(arm, query_id, doc, score, rank) of rows(arms, doc, text), step by step."""
+    import re
+    from collections import Counter, defaultdict
+
+    out = []
+    for arm in ("whole", "split"):
+        mine = [(d, re.findall("[a-z0-9]+", (t or "").lower())) for arms, d, t in rows if arm in arms]
+        mean = sum(len(w) for _, w in mine) / len(mine)
+        posts = defaultdict(Counter)
+        for d, w in mine:
+            posts[d, len(w)].update(w)
+        df = Counter(t for c in posts.values() for t in c)
+        for q, text in questions:
+            scores = defaultdict(float)
+            for term, times in Counter(re.findall("[a-z0-9]+", text.lower())).items():
+                for (d, n), c in posts.items():
+                    if c[term]:
+                        idf = math.log(1 + (len(mine) - df[term] + 0.5) / (df[term] + 0.5))
+                        scores[d] += times * idf * c[term] * 2.5 / (c[term] + 1.5 * (1 - 0.75 + 0.75 * n / mean))
+            out += [(arm, q, d, -s, i + 1) for i, (s, d) in enumerate(sorted((-round(s, 6), d) for d, s in scores.items())[:k])]
+    return sorted(out)
+
+
+def test_scoring_gives_no_row_for_each_posting_and_query(spark, monkeypatch):
+    """Documents are scored where they are: only shared documents are joined with the queries' weights, also in small blocks, with equal and shared documents."""
+    import random
+
+    r = random.Random(5)
+    rows = [(["whole", "split"], f"d{i}", " ".join(f"W{r.randint(0, 9)}" for _ in range(r.randint(0, 12)))) for i in range(60)]
+    rows += [(["split"], f"s{i}", "w1 w2 w2") for i in range(20)] + [(["whole"], "n", None)]
+    # documents that several rows share, of one length and of others, in one arm and in both
+    rows += [(["whole", "split"], "d3", "w1 w1"), (["whole", "split"], "d3", "w1 w4"), (["split"], "s2", "w7 w2 w0"), (["split"], "s2", "w1")]
+    questions = [(i, " ".join(f"w{r.randint(0, 12)}" for _ in range(r.randint(1, 6)))) for i in range(9)]
+    docs = spark.createDataFrame(rows, "arms array<string>, doc string, text string").repartition(3)
+    asked = spark.createDataFrame(questions, "query_id int, question string")
+    want = brute_bm25(rows, questions, 4)
+    for block, cells in ((2_000, 4_000_000), (7, 40)):
+        monkeypatch.setattr(R, "ROW_BLOCK", block)
+        monkeypatch.setattr(R, "COUNT_BLOCK", block)
+        monkeypatch.setattr(R, "CELLS", cells)
+        found = R.bm25(docs, asked, 4)
+        assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+        got = sorted((a["arm"], a["query_id"], a["doc"], a["score"], a["rank"]) for a in found.collect())
+        assert [x[:3] + x[4:] for x in got] == [x[:3] + x[4:] for x in want]
+        assert [x[3] for x in got] == pytest.approx([x[3] for x in want], abs=2e-6)
