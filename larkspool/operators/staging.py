@@ -40,7 +40,8 @@ def is_unparsed(metadata: Column) -> Column:
 
     ``from_json`` can't tell: it gives a struct of nulls for most of these.
     """
-    return ~F.coalesce(F.schema_of_variant(F.try_parse_json(metadata)).startswith("OBJECT"), F.lit(False))
+    # JSON that begins with a brace is an object
+    return ~F.coalesce(F.try_parse_json(metadata).isNotNull() & F.ltrim(metadata, F.lit(" \t\r\n")).startswith("{"), F.lit(False))
 
 
 def _staged(bronze: DataFrame, doc_type: str, schema: str, columns: list[str]) -> DataFrame:

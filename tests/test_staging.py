@@ -18,6 +18,16 @@ def test_parse_failed(spark, text, bad):
     assert row["parse_failed"] is bad
 
 
+def test_objects_are_told_without_a_schema(spark):
+    """One pass over the JSON, no schema made from it, with the same answers."""
+    texts = [' \t\r\n{"a": 1}', "{", '{"a":1,"a":2}', "{} x", "[{}]", "\ufeff{}", "\u00a0{}", "{}", "1", "true", " ", '{"a":{"b":[1,{"c":null}]}}', None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    old = ~F.coalesce(F.schema_of_variant(F.try_parse_json("t")).startswith("OBJECT"), F.lit(False))
+    new = rows.select("t", staging.is_unparsed(F.col("t")).alias("bad"))
+    assert sorted(map(repr, new.collect())) == sorted(map(repr, rows.select("t", old.alias("bad")).collect()))
+    assert "schema_of_variant" not in new._jdf.queryExecution().analyzed().toString().lower()
+
+
 def notice(title="T", sections=(), uses=()):
     return json.dumps({"title": title, "agency": None, "sections": list(sections), "routine_uses": list(uses)})
 
